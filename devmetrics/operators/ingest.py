@@ -16,6 +16,7 @@ from devmetrics.functions.payload import (
     variant_text,
 )
 from devmetrics.functions.signature import webhook_signature
+from devmetrics.functions.time import Instant, instant
 from devmetrics.plans.skew import one_row_per_key
 
 EVENT_COLUMNS = ["delivery_id", "signature", "received", "event", "payload"]
@@ -188,8 +189,8 @@ def route_failed_writes(
     )
 
 
-def failure_records(routes: DataFrame, now: Column) -> DataFrame:
+def failure_records(routes: DataFrame, now: Instant) -> DataFrame:
     """Rows to append to ``failure_events``, timed to the second."""
     return routes.filter(F.col("route") == RECORD).select(
-        "delivery_id", F.date_trunc("SECOND", now.cast("timestamp")).alias("created")
+        "delivery_id", F.date_trunc("SECOND", instant(now)).alias("created")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devmetrics.functions.payload import field, parse_payload
+from devmetrics.functions.time import Instant, instant
 from devmetrics.operators.artifacts import without_keys
 from devmetrics.operators.incremental import on_or_after_day
 from devmetrics.schemas import INVOCATION_COMMENT
@@ -47,13 +48,13 @@ def publisher_source(
     artifacts: DataFrame,
     events: DataFrame,
     invocation_comment: DataFrame,
-    as_of: Column,
+    as_of: Instant,
 ) -> DataFrame:
     """Artifact rows whose pull request merged recently and was not commented on, in order.
 
     ``as_of`` stands for the current time. Artifact rows count whatever their status.
     """
-    as_of = as_of.cast("timestamp")
+    as_of = instant(as_of)
     since = as_of - F.expr(LOOKBACK)
     merged = pull_request_events.filter(
         F.col("merged_at").between(since, as_of - F.expr(SETTLE))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from devmetrics.functions.time import Instant, instant
 from devmetrics.plans.skew import one_row_per_key
 
 # The host stored as an empty domain, and outcome names.
@@ -32,7 +33,7 @@ def latest_checkpoints(checkpoints: DataFrame) -> DataFrame:
     return checkpoints.groupBy(domain).agg(F.max_by("delivery_id", number).alias("delivery_id"))
 
 
-def write_checkpoint(deliveries: DataFrame, now: Column, domain: str = DEFAULT_DOMAIN) -> DataFrame:
+def write_checkpoint(deliveries: DataFrame, now: Instant, domain: str = DEFAULT_DOMAIN) -> DataFrame:
     """The next checkpoint row: the newest delivery in the log; no row for an empty log.
 
     It moves past failures on purpose, also past those not redelivered in time.
@@ -41,7 +42,7 @@ def write_checkpoint(deliveries: DataFrame, now: Column, domain: str = DEFAULT_D
     stored = "" if domain == DEFAULT_DOMAIN else domain
     return newest.select(
         F.col("id").cast("string").alias("delivery_id"),
-        F.date_trunc("SECOND", now.cast("timestamp")).alias("created"),
+        F.date_trunc("SECOND", instant(now)).alias("created"),
         F.lit(stored).alias("github_instance_url"),
     )
 

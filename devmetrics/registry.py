@@ -25,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-AS_OF = F.lit("2024-02-05 00:00:00 UTC")
+AS_OF = "2024-02-05 00:00:00 UTC"
 FEED_LOADED_UNTIL = "2024-01-20 00:00:00 UTC"
 PRS_LOADED_UNTIL = "1999-01-01 00:00:00 UTC"
 CHECKPOINT = 5000
@@ -686,7 +686,7 @@ def _(d):
             F.lit("publish").alias("job_name"),
             F.when(posted, "SUCCESS").otherwise("FAILURE").alias("status"),
             F.when(posted, number).alias("comment_id"),
-            AS_OF.alias("processed_at"),
+            F.lit(AS_OF).alias("processed_at"),
             F.col("html_url").alias("pull_request_html_url"),
             F.col("id").alias("pull_request_id"),
         )

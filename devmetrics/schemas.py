@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PARTITION_COLUMN = "event_date"
+BATCH_COLUMN = "ingest_batch"
 
 
 @dataclass(frozen=True)
@@ -17,7 +18,9 @@ class TableSpec:
 
     ``partition_time`` names the timestamp whose UTC day becomes the
     ``event_date`` partition; ``cluster_by`` orders rows inside each file so
-    that Parquet min/max statistics can skip row groups.
+    that Parquet min/max statistics can skip row groups. A ``streamed`` table is
+    also partitioned by the batch that wrote it, so that a replayed batch
+    replaces its own rows instead of adding them again.
     """
 
     name: str
@@ -25,6 +28,7 @@ class TableSpec:
     required: tuple[str, ...] = ()
     partition_time: str | None = None
     cluster_by: tuple[str, ...] = ()
+    streamed: bool = False
 
     @property
     def schema(self) -> T.StructType:
@@ -72,6 +76,7 @@ OPTIMIZED_EVENTS = TableSpec(
     """,
     partition_time="received",
     cluster_by=("event", "enterprise_name", "organization_name", "repository_name"),
+    streamed=True,
 )
 
 INTEGRATION_EVENTS = TableSpec(
@@ -161,12 +166,14 @@ WEBHOOK_REJECTS = TableSpec(
     "delivery_id STRING, signature STRING, received TIMESTAMP, event STRING, "
     "status_code INT, reason STRING",
     partition_time="received",
+    streamed=True,
 )
 
 DEAD_LETTERS = TableSpec(
     "dead_letters",
     "delivery_id STRING, signature STRING, received TIMESTAMP, event STRING, payload STRING",
     partition_time="received",
+    streamed=True,
 )
 
 COMMENT_OUTBOX = TableSpec(

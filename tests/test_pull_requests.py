@@ -1,0 +1,217 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from helpers import event, events, final_plan, rows
+from pyspark.sql import functions as F
+
+from devmetrics.operators import pull_requests as pr
+from devmetrics.plans import jobs, skew
+
+
+def closed(pr_id, author, delivery="c", received="2024-01-02", merged_at="2024-01-01T00:00:00Z", **extra):
+    body = {
+        "action": "closed",
+        "pull_request": {
+            "id": pr_id,
+            "html_url": f"https://github.com/o/r/pull/{pr_id}",
+            "user": {"login": author},
+            "additions": 3,
+            "deletions": 1,
+            "created_at": "2023-12-31T20:00:00-04:00",
+            "merged_at": merged_at,
+            "updated_at": "2024-01-01T00:00:00Z",
+        },
+        "enterprise": {"id": 1, "name": "ent"},
+        "organization": {"id": 2, "login": "o"},
+        "repository": {"id": 3, "name": "r", "full_name": "o/r"},
+    }
+    return event("pull_request", {**body, **extra}, delivery, received)
+
+
+def review(pr_id, who, at="2024-01-01T01:00:00Z"):
+    body = {"pull_request": {"id": pr_id}, "review": {"user": {"login": who}, "updated_at": at}}
+    return event("pull_request_review", body)
+
+
+def comment(pr_id, who, at="2024-01-01T02:00:00Z"):
+    body = {"pull_request": {"id": pr_id}, "comment": {"user": {"login": who}, "updated_at": at}}
+    return event("pull_request_review_comment", body)
+
+
+def test_columns_come_from_the_payload(spark):
+    row = pr.merged_pull_requests(events(spark, closed(7, "Alice"))).collect()[0]
+    assert (row.enterprise_id, row.enterprise_name) == ("1", "ent")
+    assert (row.organization_id, row.organization_name) == ("2", "o")
+    assert (row.repository_id, row.repository_name) == ("3", "r")
+    assert (row.pr_id, row.url) == ("7", "https://github.com/o/r/pull/7")
+    assert (row.author, row.insertions, row.deletions) == ("alice", 3, 1)
+    assert row.created == row.submitted  # -04:00 is honoured
+
+
+def test_only_merged_close_events(spark):
+    df = events(
+        spark,
+        closed(1, "a"),
+        closed(2, "a", merged_at=None),
+        closed(3, "a", action="opened"),
+        event("issues", {"action": "closed", "pull_request": {"id": 4, "merged_at": "2024-01-01T00:00:00Z"}}),
+    )
+    assert rows(pr.merged_pull_requests(df), "pr_id") == [("1",)]
+
+
+def test_empty_groups_are_null(spark):
+    df = events(spark, closed(1, "alice"), review(1, "Alice"), comment(2, "bob"))
+    assert rows(pr.prstats(df), "reviewer", "reviews", "comments") == [("alice", None, None)]
+
+
+def test_comment_without_time_gives_empty_text(spark):
+    df = events(spark, closed(1, "alice"), comment(1, "bob", None))
+    assert rows(pr.prstats(df), "reviewer", "comments") == [(None, "")]
+    df = events(spark, closed(1, "alice"), comment(1, "bob", None), comment(1, "bob", "t"))
+    assert rows(pr.prstats(df), "comments") == [("bob|t",)]
+
+
+def test_case_folding_differs(spark):
+    """A commenter is never folded, so an author in upper case counts as somebody else."""
+    df = events(spark, closed(1, "Alice"), review(1, "BOB"), comment(1, "Alice", "t"))
+    cells = ("author", "reviewer", "reviews", "comments")
+    assert rows(pr.prstats(df), *cells) == [("alice", "bob", "bob", "Alice|t")]
+    assert rows(pr.prstats_pull_request_reviews(df), *cells) == [("Alice", "BOB", "BOB", None)]
+    assert rows(pr.prstats_pull_requests(df), "author", "reviews", "comments") == [
+        ("Alice", "BOB", None)
+    ]
+
+
+def test_one_row_per_review_event(spark):
+    df = events(
+        spark,
+        closed(1, "alice", "c1"),
+        closed(1, "alice", "c2"),
+        review(1, "bob", "t1"),
+        review(1, "bob", "t2"),
+        review(1, "alice"),
+        comment(1, "carl", "t"),
+        comment(1, "carl", "t"),
+    )
+    got = rows(pr.prstats(df), "reviewer", "reviews", "comments")
+    assert Counter(got) == {("bob", "bob", "carl|t,carl|t"): 4, ("alice", "bob", "carl|t,carl|t"): 2}
+
+
+def test_null_names_never_count(spark):
+    df = events(spark, closed(1, None), review(1, "bob"), comment(1, "carl", "t"))
+    assert rows(pr.prstats(df), "author", "reviewer", "reviews", "comments") == [
+        (None, "bob", None, None)
+    ]
+    df = events(spark, closed(1, "alice"), review(1, None), comment(1, None, "t"))
+    assert rows(pr.prstats(df), "reviewer", "reviews", "comments") == [(None, None, None)]
+
+
+def brute_force(closes, reviews, comments):
+    """The statistics row by row, in Python."""
+    by_pr, notes = defaultdict(list), defaultdict(list)
+    for number, who in reviews:
+        by_pr[number].append(who)
+    for number, who, at in comments:
+        notes[number].append((who, at))
+    out = Counter()
+    for number, author in closes:
+        others = sorted({w for w in by_pr[number] if w != author})
+        texts = sorted(f"{w}|{t}" for w, t in notes[number] if w != author)
+        cells = (",".join(others) or None, ",".join(texts) or None)
+        for who in by_pr[number] or [None]:
+            out[(str(number), author, who, *cells)] += 1
+    return out
+
+
+@pytest.mark.parametrize("share, block", [(200_000, 10_000), (7, 3)])
+def test_matches_brute_force_with_a_busy_pull_request(spark, monkeypatch, share, block):
+    """One pull request holds a third of all reviews; small limits force shares and blocks."""
+    monkeypatch.setattr(pr, "REVIEWS_PER_SHARE", share)
+    monkeypatch.setattr(skew, "REPEAT_BLOCK", block)
+    rng = random.Random(3)
+    people = [f"u{i}" for i in range(6)]
+    closes = [(n, rng.choice(people)) for n in range(1, 21)] + [(1, "u1"), (1, "u2"), (2, "u0")]
+    reviews = [(rng.randrange(2, 18), rng.choice(people)) for _ in range(60)]
+    reviews += [(1, "u5")] * 25 + [(1, rng.choice(people)) for _ in range(8)]
+    comments = [
+        (rng.randrange(1, 16), rng.choice(people), f"t{rng.randrange(4)}") for _ in range(60)
+    ]
+    df = events(
+        spark,
+        *(closed(n, a, f"c{i}") for i, (n, a) in enumerate(closes)),
+        *(review(n, w) for n, w in reviews),
+        *(comment(n, w, t) for n, w, t in comments),
+    )
+    got = Counter(rows(pr.prstats(df), "pr_id", "author", "reviewer", "reviews", "comments"))
+    assert got == brute_force(closes, reviews, comments)
+
+
+def test_aggregates_by_pull_request_and_author(spark):
+    df = events(
+        spark, closed(1, "a"), closed(1, "b"), closed(2, "a"),
+        review(1, "a"), review(1, "b"), comment(1, "a", "t"),
+    )
+    prs, activity = pr.merged_pull_requests(df), pr.review_activity(df)
+    assert rows(pr.reviewers_agg(prs, activity)) == [
+        ("1", "a", "b"), ("1", "b", "a"), ("2", "a", None)
+    ]
+    assert rows(pr.comments_agg(prs, activity)) == [
+        ("1", "a", None), ("1", "b", "a|t"), ("2", "a", None)
+    ]
+
+
+@pytest.mark.parametrize("table", sorted(jobs.PR_TABLES))
+def test_job_appends_only_newer_events(spark, store, table):
+    store.append("optimized_events", events(spark, closed(1, "A"), review(1, "B")))
+    jobs.load_pull_request_stats(store, table)
+    assert rows(store.read(table), "pr_id", "reviews") in ([("1", "b")], [("1", "B")])
+    jobs.load_pull_request_stats(store, table)
+    assert store.read(table).count() == 1
+
+    late = closed(2, "A", "late", received="2024-01-01 12:00:00")
+    new = closed(3, "A", "new", received="2024-01-02 00:00:01")
+    store.append("optimized_events", events(spark, late, new, review(1, "C")))
+    jobs.load_pull_request_stats(store, table)
+    assert rows(store.read(table), "pr_id") == [("1",), ("3",)]
+
+
+def test_reviews_and_comments_share_one_scan(spark, store):
+    store.append("optimized_events", events(spark, closed(1, "a"), review(1, "b"), comment(1, "c")))
+    stats = pr.prstats(store.read("optimized_events"))
+    # The pull requests are scanned once; the activity is computed once and reused.
+    assert final_plan(stats).count("FileScan parquet") <= 2
+    planned = stats._jdf.queryExecution().sparkPlan().toString()
+    assert "In(event, [pull_request_review,pull_request_review_comment])" in planned
+    assert "EqualTo(event,pull_request)" in planned
+
+
+def test_hot_pull_request_splits_the_join(spark, monkeypatch):
+    """Close events of one pull request hold a third of all rows: the adaptive join splits them."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        ids = spark.range(0, 9000, 1, 8)
+        prs = ids.select(
+            F.lit(None).cast("string").alias("url"),
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).cast("string").alias("pr_id"),
+            F.sha2(F.col("id").cast("string"), 512).alias("author"),
+        )
+        activity = ids.select(
+            F.col("id").cast("string").alias("pr_id"), F.lit(True).alias("is_review"),
+            F.lit("bob").alias("who"), F.lit(None).cast("string").alias("at"),
+            F.lit(1).cast("bigint").alias("n"),
+        )
+        joined = prs.join(pr._people_per_pull_request(activity), "pr_id", "left")
+        assert "SortMergeJoin(skew=true)" in final_plan(joined)
+        assert joined.count() == 9000
+    finally:
+        for key in conf:
+            spark.conf.unset(key)

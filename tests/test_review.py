@@ -1,0 +1,279 @@
+import random
+from collections import defaultdict
+
+import pytest
+from helpers import event, events, final_plan, rows, ts
+
+from devmetrics.functions.links import url_prefix
+from devmetrics.operators import review
+from devmetrics.plans import jobs
+
+COMMIT_DDL = (
+    "author string, organization string, repository string, branch string, visibility string, "
+    "commit_sha string, commit_timestamp timestamp"
+)
+PR_DDL = (
+    "organization string, repository string, commit_sha string, default_branch string, "
+    "ordinal int, base_ref string, pr_id bigint, pr_number bigint, pr_url string"
+)
+ERROR_DDL = "organization string, repository string, commit_sha string, message string"
+
+
+def push(*commits, ref="refs/heads/main", url="https://github.com/o/r/compare/x", field="compare_url"):
+    body = {
+        "ref": ref,
+        field: url,
+        "pusher": {"name": "Alice"},
+        "organization": {"login": "o"},
+        "repository": {"name": "r", "default_branch": "main", "visibility": "public"},
+        "commits": [{"id": c, "timestamp": "2024-01-01T10:00:00-04:00"} for c in commits],
+    }
+    return event("push", body)
+
+
+def reviewed(spark, *shas):
+    return spark.createDataFrame([(s,) for s in shas], "commit_sha string")
+
+
+def test_commits_of_default_branch_pushes(spark):
+    df = events(
+        spark,
+        push("a", "b"),
+        push("a"),
+        push("c", ref="refs/heads/dev"),
+        push("d", url="https://ghes.example.com/o/r/compare/x"),
+        push(),
+        event("push", {"ref": "refs/heads/main"}),
+    )
+    got = review.commits_to_review(df, reviewed(spark, "b"))
+    assert rows(got, "commit_sha", "author", "organization", "repository", "branch", "visibility") == [
+        ("a", "Alice", "o", "r", "main", "public")
+    ] * 2
+    assert rows(got.selectExpr("date_format(commit_timestamp, 'HH:mm')"))[0] == ("14:00",)
+    assert review.commits_to_review(df, reviewed(spark), dedupe=True).count() == 2
+
+
+def test_commit_options(spark):
+    df = events(spark, push("a", url="https://ghes.example.com/x", field="compare"))
+    prefix = url_prefix("https://ghes.example.com")
+    got = review.commits_to_review(df, reviewed(spark), prefix, compare_field="compare")
+    assert rows(got, "commit_sha") == [("a",)]
+    assert review.commits_to_review(df, reviewed(spark), prefix).count() == 0
+
+
+def test_commit_without_sha_stays(spark):
+    assert review.commits_to_review(events(spark, push(None)), reviewed(spark, "x")).count() == 1
+
+
+def test_prefix_is_literal(spark):
+    """An underscore in a host is no wildcard."""
+    df = events(spark, push("a", url="https://aXb.example.com/o"))
+    assert review.commits_to_review(df, reviewed(spark), url_prefix("https://a_b.example.com")).count() == 0
+
+
+def commits(spark, *shas):
+    data = [("Alice", "o", "r", "main", "public", s, ts("2024-01-01 10:00:00.5")) for s in shas]
+    return spark.createDataFrame(data, COMMIT_DDL)
+
+
+def prs(spark, *items):
+    """(sha, ordinal, pr_id[, base_ref])"""
+    data = []
+    for sha, ordinal, pr_id, *base in items:
+        base_ref = base[0] if base else "main"
+        data.append(("o", "r", sha, "main", ordinal, base_ref, pr_id, pr_id % 100, f"u{pr_id}"))
+    return spark.createDataFrame(data, PR_DDL)
+
+
+def states(spark, *items):
+    return spark.createDataFrame(list(items), "pr_id bigint, state string")
+
+
+def test_approval_choices(spark):
+    found = review.commit_approval(
+        commits(spark, "one", "second", "none", "nopr", "blocked", "base"),
+        prs(
+            spark,
+            ("one", 0, 1), ("second", 0, 2), ("second", 1, 3), ("none", 0, 4), ("none", 1, 5),
+            ("blocked", 0, 6), ("base", 0, 7, "dev"),
+        ),
+        states(
+            spark,
+            (1, "COMMENTED"), (1, "CHANGES_REQUESTED"), (1, "APPROVED"),
+            (2, "CHANGES_REQUESTED"), (3, "APPROVED"), (4, "COMMENTED"),
+            (6, "CHANGES_REQUESTED"), (6, "COMMENTED"), (7, "APPROVED"),
+        ),
+    )
+    columns = (
+        "commit_sha", "approval_status", "pull_request_id", "pull_request_number",
+        "pull_request_html_url", "note",
+    )
+    assert rows(found, *columns) == sorted(
+        [
+            ("one", "APPROVED", 1, 1, "u1", ""),
+            ("second", "APPROVED", 3, 3, "u3", ""),
+            ("none", "REVIEW_REQUIRED", 4, 4, "u4", ""),
+            ("nopr", "UNKNOWN", 0, 0, "", ""),
+            ("blocked", "CHANGES_REQUESTED", 6, 6, "u6", ""),
+            ("base", "UNKNOWN", 0, 0, "", ""),
+        ],
+        key=repr,
+    )
+    assert rows(found, "commit_html_url")[0] == ("https://github.com/o/r/commit/base",)
+
+
+def test_states_are_matched_in_upper_case_only(spark):
+    found = review.commit_approval(commits(spark, "a"), prs(spark, ("a", 0, 1)), states(spark, (1, "approved")))
+    assert rows(found, "approval_status") == [("REVIEW_REQUIRED",)]
+    body = {"pull_request": {"id": 1}, "review": {"state": "approved"}}
+    derived = review.pull_request_reviews_from_events(events(spark, event("pull_request_review", body)))
+    found = review.commit_approval(commits(spark, "a"), prs(spark, ("a", 0, 1)), derived)
+    assert rows(found, "approval_status") == [("APPROVED",)]
+
+
+def test_lookup_errors(spark):
+    gone = "Could not resolve to a Repository with the name 'test-repository'"
+    errors = spark.createDataFrame(
+        [("o", "r", "gone", gone), ("o", "r", "late", "timeout")], ERROR_DDL
+    )
+    found = review.commit_approval(
+        commits(spark, "gone", "late", "fine"),
+        prs(spark, ("gone", 0, 1), ("fine", 0, 2)),
+        states(spark, (1, "APPROVED"), (2, "APPROVED")),
+        errors,
+    )
+    assert rows(found, "commit_sha", "approval_status", "pull_request_id", "note") == [
+        ("fine", "APPROVED", 2, ""),
+        ("gone", "UNKNOWN", 0, gone),
+    ]
+
+
+def issue(number, created, closed, author="Alice", repo="breakglass", org="o", host="github.com"):
+    body = {
+        "repository": {"name": repo},
+        "organization": {"login": org},
+        "issue": {
+            "html_url": f"https://{host}/{org}/{repo}/issues/{number}",
+            "user": {"login": author},
+            "created_at": created,
+            "closed_at": closed,
+        },
+    }
+    return event("issues", body)
+
+
+def statuses(spark, *items):
+    """(sha, status, time)"""
+    data = [("Alice", "o", "r", "main", "public", s, ts(t), st) for s, st, t in items]
+    return spark.createDataFrame(data, COMMIT_DDL + ", approval_status string")
+
+
+def urls(df):
+    return {r.commit_sha: r.break_glass_issue_urls for r in df.collect()}
+
+
+def url(number):
+    return f"https://github.com/o/breakglass/issues/{number}"
+
+
+def test_breakglass_interval_bounds(spark):
+    df = events(
+        spark,
+        issue(1, "2024-01-01T10:00:00Z", "2024-01-01T12:00:00Z"),
+        issue(2, "2024-01-01T11:00:00Z", "2024-01-03T00:00:00Z"),
+        issue(3, "2024-01-01T09:00:00Z", None),
+        issue(4, "2024-01-01T10:00:00Z", "2024-01-01T12:00:00Z", author="Bob"),
+        issue(5, "2024-01-01T10:00:00Z", "2024-01-01T12:00:00Z", repo="other"),
+        issue(6, "2024-01-01T10:00:00Z", "2024-01-01T12:00:00Z", org="p"),
+        issue(7, "2024-01-01T10:00:00Z", "2024-01-01T12:00:00Z", host="ghes.example.com"),
+        issue(8, "2020-01-01T00:00:00Z", "2024-01-01T09:59:59Z"),
+        issue(9, "2024-01-02T00:00:00Z", "2024-01-01T00:00:00Z"),
+    )
+    got = urls(
+        review.breakglass_issues(
+            statuses(
+                spark,
+                ("start", "UNKNOWN", "2024-01-01 10:00:00"),
+                ("end", "REVIEW_REQUIRED", "2024-01-01 12:00:00.9"),
+                ("after", "UNKNOWN", "2024-01-02 12:00:00"),
+                ("long", "CHANGES_REQUESTED", "2022-05-05"),
+                ("none", "UNKNOWN", "2019-01-01"),
+                ("approved", "APPROVED", "2024-01-01 11:00:00"),
+            ),
+            df,
+        )
+    )
+    assert got == {
+        "start": [url(1)],
+        "end": [url(1), url(2)],  # compared at whole seconds
+        "after": [url(2)],
+        "long": [url(8)],
+        "none": [],
+        "approved": [],
+    }
+
+
+def test_breakglass_keeps_copies(spark):
+    one = issue(1, "2024-01-01T10:00:00Z", "2024-01-01T12:00:00Z")
+    got = review.breakglass_issues(
+        statuses(spark, ("a", "UNKNOWN", "2024-01-01 11:00:00"), ("a", "UNKNOWN", "2024-01-01 11:00:00")),
+        events(spark, one, one),
+    )
+    assert rows(got, "break_glass_issue_urls") == [([url(1), url(1)],)] * 2
+
+
+def test_breakglass_matches_brute_force_for_a_busy_author(spark):
+    """One author holds most commits and issues; intervals of hours, days and years."""
+    rng = random.Random(11)
+
+    def when(day):
+        return f"20{20 + day // 300:02d}-{1 + day % 12:02d}-{1 + day % 28:02d} {day % 24:02d}:00:00"
+
+    issues, probes = [], []
+    for i in range(60):
+        a, b = sorted([when(rng.randrange(1500)), when(rng.randrange(1500))])
+        issues.append((i, a, b))
+    for i in range(80):
+        probes.append((f"s{i}", rng.choice(["UNKNOWN", "APPROVED"]), when(rng.randrange(1500))))
+    df = events(
+        spark, *(issue(i, a.replace(" ", "T") + "Z", b.replace(" ", "T") + "Z") for i, a, b in issues)
+    )
+    expected = defaultdict(list)
+    for sha, status, at in probes:
+        hits = sorted(url(i) for i, a, b in issues if a <= at <= b)
+        expected[sha] = hits if status != "APPROVED" else []
+    tagged = review.breakglass_issues(statuses(spark, *probes), df)
+    assert urls(tagged) == dict(expected)
+    assert any(expected.values())
+
+
+def test_job_is_idempotent_and_retries_transient_errors(spark, store):
+    store.append(
+        "optimized_events",
+        events(spark, push("a", "b"), issue(1, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z")),
+    )
+    lookups = (prs(spark, ("a", 0, 1)), states(spark, (1, "APPROVED")))
+    errors = spark.createDataFrame([("o", "r", "b", "timeout")], ERROR_DDL)
+    jobs.review_commits(store, *lookups, errors)
+    table = ("commit_sha", "approval_status", "break_glass_issue_urls")
+    # The issue belongs to Alice and was open, but an approved commit is not looked up.
+    assert rows(store.read("commit_review_status"), *table) == [("a", "APPROVED", [])]
+    jobs.review_commits(store, *lookups)
+    both = [("a", "APPROVED", []), ("b", "UNKNOWN", [url(1)])]
+    assert rows(store.read("commit_review_status"), *table) == both
+    jobs.review_commits(store, *lookups)
+    assert rows(store.read("commit_review_status"), *table) == both
+
+
+def test_plan_shapes(spark):
+    df = events(spark, push("a"), issue(1, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z"))
+    plan = final_plan(review.commits_to_review(df, reviewed(spark, "x")))
+    assert "LeftAnti" in plan
+    tagged = review.breakglass_issues(statuses(spark, ("a", "UNKNOWN", "2024-01-01")), df)
+    planned = tagged._jdf.queryExecution().sparkPlan().toString()
+    assert "NestedLoop" not in planned and "Cartesian" not in planned
+
+
+@pytest.mark.parametrize("server, prefix", [(None, "https://github.com/"), ("https://h", "https://h/")])
+def test_url_prefix(server, prefix):
+    assert url_prefix(server) == prefix
