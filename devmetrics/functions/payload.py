@@ -67,9 +67,19 @@ def variant_kind(variant: Column, path: str) -> Column:
 
 
 def variant_is_object(variant: Column, path: str) -> Column:
+    """Whether the value at ``path`` is an object. Costs a walk through that value."""
     return F.coalesce(variant_kind(variant, path).startswith("OBJECT"), F.lit(False))
 
 
+def is_json_object(text: Column, variant: Column) -> Column:
+    """Whether a whole text is a JSON object, given its parse result.
+
+    Valid JSON is an object exactly if it opens with a brace, which is far
+    cheaper to see than the type of a large value.
+    """
+    return variant.isNotNull() & text.rlike(r"^\s*\{")
+
+
 def variant_text(variant: Column, path: str) -> Column:
     """A JSON string at ``path``; NULL for any other type and for the empty string."""
     value = F.when(variant_kind(variant, path) == "STRING", F.try_variant_get(variant, path, "string"))
@@ -81,8 +91,7 @@ def variant_id(variant: Column, path: str) -> Column:
 
     JSON numbers count as doubles, so a fraction is cut off.
     """
-    number = F.when(
-        variant_kind(variant, path).rlike("^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|DOUBLE|FLOAT)"),
-        F.try_variant_get(variant, path, "double"),
-    )
+    kind = variant_kind(variant, path)
+    is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    number = F.when(is_number, F.try_variant_get(variant, path, "double"))
     return number.try_cast("bigint").cast("string")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devmetrics.functions.payload import (
+    is_json_object,
     variant_id,
     variant_is_object,
     variant_kind,
@@ -100,7 +101,9 @@ def with_identity(events: DataFrame) -> DataFrame:
     payload has no organization object at all and the account is one. A
     payload must be a JSON object (or the literal null) to be decodable.
     """
-    parsed = events.select(*events.columns, F.explode(F.array(F.try_parse_json("payload"))).alias("_v"))
+    parsed = events.select(
+        *events.columns, F.explode(F.array(F.try_parse_json("payload"))).alias("_v")
+    )
     v = F.col("_v")
     own_org = variant_is_object(v, "$.organization")
     account_org = F.coalesce(
@@ -110,8 +113,7 @@ def with_identity(events: DataFrame) -> DataFrame:
     def organization(read, own: str, fallback: str) -> Column:
         return F.when(own_org, read(v, own)).when(account_org, read(v, fallback))
 
-    kind = variant_kind(v, "$")
-    decodable = F.coalesce(kind.startswith("OBJECT") | (kind == "VOID"), F.lit(False))
+    decodable = is_json_object(F.col("payload"), v) | F.is_variant_null(v)
     return parsed.select(
         *events.columns,
         variant_id(v, "$.enterprise.id").alias("enterprise_id"),
@@ -124,7 +126,7 @@ def with_identity(events: DataFrame) -> DataFrame:
         ),
         variant_id(v, "$.repository.id").alias("repository_id"),
         variant_text(v, "$.repository.full_name").alias("repository_name"),
-        F.explode(F.array(decodable)).alias("decodable"),
+        F.coalesce(decodable, F.lit(False)).alias("decodable"),
     )
 
 

@@ -17,12 +17,14 @@ from devmetrics.operators import artifacts as art
 from devmetrics.operators import ingest, publisher, pull_requests, redelivery, review
 from devmetrics.operators.incremental import incremental_rows
 from devmetrics.operators.integration import classify_events, integration_events
+from devmetrics.plans.staging import stage
 from devmetrics.session import configure
 from devmetrics.sources.derived import WEBHOOK_SECRET, DerivedEvents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
+BUILDERS: dict[str, Callable[[DerivedEvents], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 AS_OF = "2024-02-05 00:00:00 UTC"
@@ -52,6 +54,7 @@ def query(name: str, oracle: str):
             return present(build(DerivedEvents(configure(spark), sf_dir)))
 
         QUERIES[name] = run
+        BUILDERS[name] = build
         ORACLES[name] = oracle
         return build
 
@@ -568,6 +571,7 @@ def _(d):
         d.commit_pull_requests,
         review.pull_request_reviews_from_events(d.reviews),
         d.lookup_errors,
+        stage=stage,
     )
 
 

@@ -595,3 +595,45 @@ class DerivedEvents:
             F.col("ts").alias("created"),
             domain.alias("github_instance_url"),
         )
+
+
+# Which events each set consists of, and the sets that are tables of their own.
+EVENT_SETS = {
+    "pull_requests": ["pull_request"],
+    "reviews": ["pull_request_review"],
+    "comments": ["pull_request_review_comment"],
+    "pushes": ["push"],
+    "issues": ["issues"],
+    "workflow_runs": ["workflow_run"],
+    "misc": ["create", "workflow_job", "deployment_status", "repository", "deployment"],
+}
+STATE_SETS = [
+    "raw_webhooks", "messages",
+    "reviewed_commits", "commit_pull_requests", "lookup_errors",
+    "artifacts", "fetch_outcomes", "pull_request_events", "invocation_comments",
+    "failure_events", "failed_writes",
+    "deliveries", "arrived", "redelivery_outcomes", "checkpoints",
+]
+
+
+class StoredEvents(DerivedEvents):
+    """The same sets read from Parquet, the way a deployment would read its tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, path: str):
+        super().__init__(spark, sf_dir)
+        self.events = spark.read.schema(OPTIMIZED_EVENTS.schema).parquet(f"{path}/events")
+        self.prstats_events = self.events
+        for name, kinds in EVENT_SETS.items():
+            setattr(self, name, self.events.filter(F.col("event").isin(kinds)))
+        for name in STATE_SETS:
+            setattr(self, name, spark.read.parquet(f"{path}/{name}"))
+
+    @classmethod
+    def write(cls, source: DerivedEvents, path: str) -> StoredEvents:
+        """Store all sets under ``path``; events are clustered by name inside each file."""
+        files = source.spark.sparkContext.defaultParallelism
+        events = source.events.repartition(files).sortWithinPartitions("event")
+        events.write.parquet(f"{path}/events")
+        for name in STATE_SETS:
+            getattr(source, name).write.parquet(f"{path}/{name}")
+        return cls(source.spark, source.sf_dir, path)
