@@ -437,7 +437,7 @@ def _(d):
     f"""SELECT md5(CAST(event_id AS VARCHAR)) AS delivery_id, event_id % 4 AS failures,
        CASE WHEN event_id % 4 >= {RETRY_LIMIT} THEN 'DLQ' ELSE 'RECORD' END AS route,
        CAST(CASE WHEN event_id % 4 >= {RETRY_LIMIT} AND event_id % 5 <> 0 THEN 201 ELSE 500 END AS INTEGER) AS response_code
-FROM events WHERE event_id % 7 = 0""",
+FROM events""",
 )
 def _(d):
     return ingest.route_failed_writes(d.failed_writes, d.failure_events, RETRY_LIMIT)
@@ -446,7 +446,7 @@ def _(d):
 @query(
     "failure_records",
     f"""SELECT md5(CAST(event_id AS VARCHAR)) AS delivery_id, TIMESTAMP '2024-02-05' AS created
-FROM events WHERE event_id % 7 = 0 AND event_id % 4 < {RETRY_LIMIT}""",
+FROM events WHERE event_id % 4 < {RETRY_LIMIT}""",
 )
 def _(d):
     routes = ingest.route_failed_writes(d.failed_writes, d.failure_events, RETRY_LIMIT)

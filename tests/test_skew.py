@@ -1,0 +1,157 @@
+"""One key holds a third of all rows: results stay exact and the adaptive join splits the key."""
+
+import pytest
+from helpers import final_plan
+from pyspark.sql import functions as F
+
+from devmetrics.operators import artifacts, ingest, redelivery, review
+from devmetrics.schemas import COMMIT_REVIEW_STATUS
+
+ROWS = 12_000
+
+
+@pytest.fixture(autouse=True)
+def small_thresholds(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key in conf:
+        spark.conf.unset(key)
+
+
+def hot(prefix):
+    """Key 0 for every third row, else the row number."""
+    number = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    return F.concat(F.lit(prefix), number.cast("string"))
+
+
+def noise(bits=512):
+    return F.sha2(F.col("id").cast("string"), bits)
+
+
+def split(df):
+    return "skew=true" in final_plan(df)
+
+
+@pytest.fixture()
+def ids(spark):
+    return spark.range(0, ROWS, 1, 8)
+
+
+@pytest.fixture()
+def commits(ids):
+    return ids.select(
+        noise().alias("author"), F.lit("o").alias("organization"), F.lit("r").alias("repository"),
+        F.lit("main").alias("branch"), F.lit("public").alias("visibility"),
+        hot("s").alias("commit_sha"),
+        F.timestamp_seconds(F.col("id") % 1000 + 1_700_000_000).alias("commit_timestamp"),
+    )
+
+
+def test_commits_anti_join(spark, ids):
+    pushed = ids.select(
+        F.lit("push").alias("event"),
+        F.to_json(
+            F.struct(
+                F.lit("refs/heads/main").alias("ref"),
+                F.lit("https://github.com/x").alias("compare_url"),
+                F.struct(noise().alias("name")).alias("pusher"),
+                F.struct(F.lit("main").alias("default_branch")).alias("repository"),
+                F.array(
+                    F.struct(hot("s").alias("id"), F.lit("2024-01-01T00:00:00Z").alias("timestamp"))
+                ).alias("commits"),
+            )
+        ).alias("payload"),
+    )
+    done = ids.filter("id > 0").select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("commit_sha"))
+    left = review.commits_to_review(pushed, done)
+    assert split(left)
+    assert left.count() == ROWS // 3
+
+
+def test_commit_approval(spark, ids, commits):
+    key = F.concat(F.lit("s"), F.col("id").cast("string"))
+    prs = ids.select(
+        F.lit("o").alias("organization"), F.lit("r").alias("repository"), key.alias("commit_sha"),
+        F.lit("main").alias("default_branch"), F.lit(0).alias("ordinal"), F.lit("main").alias("base_ref"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("pr_id"),
+        F.col("id").alias("pr_number"), noise().alias("pr_url"),
+    )
+    reviews = ids.select(F.col("id").alias("pr_id"), F.lit("APPROVED").alias("state"))
+    found = review.commit_approval(commits, prs, reviews)
+    assert split(found)
+    assert found.count() == ROWS
+    assert found.filter("approval_status = 'APPROVED'").count() == ROWS
+
+
+def test_breakglass_with_copies_of_one_commit(spark, ids, commits):
+    statuses = commits.withColumns(
+        {
+            "author": F.lit("bot"),
+            "commit_timestamp": F.when(F.col("commit_sha") == "s0", F.timestamp_seconds(F.lit(1_700_000_000)))
+            .otherwise(F.col("commit_timestamp")),
+            "approval_status": F.lit("UNKNOWN"),
+            "note": F.col("author"),  # the noise, before it is replaced
+        }
+    )
+    start = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id"))
+    iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    issues = spark.range(0, 40).select(
+        F.lit("issues").alias("event"),
+        F.to_json(
+            F.struct(
+                F.struct(F.lit("breakglass").alias("name")).alias("repository"),
+                F.struct(F.lit("o").alias("login")).alias("organization"),
+                F.struct(
+                    F.concat(F.lit("https://github.com/"), F.col("id").cast("string")).alias("html_url"),
+                    F.struct(F.lit("bot").alias("login")).alias("user"),
+                    F.date_format(start, iso).alias("created_at"),
+                    F.date_format(start + F.expr("INTERVAL 2 SECONDS"), iso).alias("closed_at"),
+                ).alias("issue"),
+            )
+        ).alias("payload"),
+    )
+    tagged = review.breakglass_issues(statuses, issues)
+    assert split(tagged)
+    counts = tagged.select(
+        F.unix_seconds("commit_timestamp").alias("s"), F.size("break_glass_issue_urls").alias("n")
+    )
+    second = F.col("s") - 1_700_000_000
+    expected = F.greatest(F.least(second, F.lit(39)) - F.greatest(second - 2, F.lit(0)) + 1, F.lit(0))
+    assert counts.filter(F.col("n") != expected).count() == 0
+    assert counts.count() == ROWS
+    assert set(tagged.columns) < set(COMMIT_REVIEW_STATUS.columns) | {"approval_status", "note"}
+
+
+def test_not_in(spark, ids):
+    df = ids.select(hot("d").alias("delivery_id"), noise().alias("x"))
+    taken = spark.range(1, ROWS, 2, 8).select(hot("d").alias("delivery_id")).filter("delivery_id <> 'd0'")
+    left = artifacts.without_keys(df, "delivery_id", taken, "delivery_id")
+    assert split(left)
+    expected = sum(1 for i in range(ROWS) if i % 3 == 0 or i % 2 == 0)
+    assert left.count() == expected
+
+
+def test_failure_routes(spark, ids):
+    failed = ids.select(hot("d").alias("delivery_id"))
+    earlier = ids.select(hot("d").alias("delivery_id"))
+    routes = ingest.route_failed_writes(failed, earlier, ROWS // 3)
+    assert routes.filter("route = 'DLQ'").count() == ROWS // 3
+    assert routes.filter("route = 'RECORD' AND failures = 1").count() == ROWS - ROWS // 3
+
+
+def test_reconcile_against_copies_of_one_event(spark, ids):
+    stored = ids.select(hot("g").alias("delivery_id"))
+    failed = ids.select(F.col("id"), F.concat(F.lit("g"), F.col("id").cast("string")).alias("guid"))
+    tried = ids.select("id", F.lit("bad gateway").alias("outcome"))
+    found = redelivery.reconcile_redeliveries(failed, tried, stored)
+    assert found.count() == ROWS
+    present = 1 + sum(1 for i in range(ROWS) if i % 3)
+    assert found.filter("result = 'ALREADY_PRESENT'").count() == present
