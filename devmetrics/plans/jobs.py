@@ -30,9 +30,22 @@ def load_integration_events(store: TableStore) -> None:
     store.append("integration_events", rows)
 
 
+# Most pull requests of one run whose ids are broadcast: at some 30 bytes each,
+# well under Spark's own limit of 8 GB and fit for any executor.
+MAX_BROADCAST_IDS = 1_000_000
+
+
 def load_pull_request_stats(store: TableStore, table: str) -> None:
-    rows = PR_TABLES[table](store.read("optimized_events"), store.read(table))
-    store.append(table, rows)
+    """Append the pull requests that closed since the last run.
+
+    Their reviews and comments may be of any age, so all review events are
+    read. If the run has few enough pull requests, which is counted, rows of
+    all others are dropped right after the parse instead of being shuffled.
+    """
+    events, target = store.read("optimized_events"), store.read(table)
+    ids = stage(pull_requests.new_pull_request_ids(events, target))
+    only = ids if ids.count() <= MAX_BROADCAST_IDS else None
+    store.append(table, PR_TABLES[table](events, target, only))
 
 
 def review_commits(

@@ -176,6 +176,29 @@ def test_job_appends_only_newer_events(spark, store, table):
     assert rows(store.read(table), "pr_id") == [("1",), ("3",)]
 
 
+@pytest.mark.parametrize("limit", [0, 10])
+def test_job_gives_the_same_with_and_without_the_id_filter(spark, store, monkeypatch, limit):
+    monkeypatch.setattr(jobs, "MAX_BROADCAST_IDS", limit)
+    data = [closed(n, "a", f"c{n}") for n in (1, 2)]
+    data += [review(n, w) for n in (1, 2, 3) for w in ("a", "b")] + [comment(1, "c", "t")]
+    store.append("optimized_events", events(spark, *data))
+    jobs.load_pull_request_stats(store, "prstats")
+    assert rows(store.read("prstats"), "pr_id", "reviewer", "reviews", "comments") == [
+        ("1", "a", "b", "c|t"), ("1", "b", "b", "c|t"), ("2", "a", "b", None), ("2", "b", "b", None)
+    ]
+
+
+def test_id_filter_comes_before_the_shuffle(spark, store):
+    store.append("optimized_events", events(spark, closed(1, "a"), review(1, "b"), review(2, "b")))
+    df = store.read("optimized_events")
+    only = pr.new_pull_request_ids(df, None)
+    activity = pr.review_activity(df, only=only)
+    assert rows(activity, "pr_id") == [("1",)]
+    planned = activity._jdf.queryExecution().sparkPlan().toString()
+    # Read from the top: the grouping sits above the semi join, which sits above the parse.
+    assert planned.index("HashAggregate") < planned.index("LeftSemi") < planned.index("from_json")
+
+
 def test_reviews_and_comments_share_one_scan(spark, store):
     store.append("optimized_events", events(spark, closed(1, "a"), review(1, "b"), comment(1, "c")))
     stats = pr.prstats(store.read("optimized_events"))
