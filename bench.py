@@ -23,7 +23,7 @@ from devmetrics.sources.derived import DerivedEvents, StoredEvents
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 HEADLINE = [
     "integration_events",
@@ -52,7 +52,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("devmetrics-bench")
         .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -166,15 +166,16 @@ def failure_counts(failure_events: DataFrame, limit: int) -> DataFrame:
 def route_failed_writes(
     failed: DataFrame, failure_events: DataFrame | None, limit: int
 ) -> DataFrame:
-    """Where each failed write goes: the dead letters, or one more failure record.
+    """``failed`` plus where each row goes: the dead letters, or one more failure record.
 
     Failures recorded before this batch decide. ``failed`` may carry a BOOLEAN
     ``dlq_ok`` that tells whether the dead-letter write worked. Without
     ``failure_events`` (the count is unavailable) nothing is recorded.
     """
+    kept = [c for c in failed.columns if c != "dlq_ok"]
     if failure_events is None:
         return failed.select(
-            "delivery_id",
+            *kept,
             F.lit(None).cast("bigint").alias("failures"),
             F.lit(UNRECORDED).alias("route"),
             F.lit(SERVER_ERROR).alias("response_code"),
@@ -184,7 +185,7 @@ def route_failed_writes(
     route = F.when(failures >= limit, DLQ).otherwise(RECORD)
     dlq_ok = F.coalesce("dlq_ok", F.lit(True)) if "dlq_ok" in failed.columns else F.lit(True)
     return failed.join(counts, "delivery_id", "left").select(
-        "delivery_id",
+        *kept,
         failures.alias("failures"),
         route.alias("route"),
         F.when((route == DLQ) & dlq_ok, CREATED).otherwise(SERVER_ERROR).alias("response_code"),

@@ -8,11 +8,12 @@ DataFrame.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from devmetrics.functions.links import url_prefix
 from devmetrics.functions.time import Instant, instant
 from devmetrics.operators import artifacts as art
-from devmetrics.operators import publisher, pull_requests, redelivery
+from devmetrics.operators import ingest, publisher, pull_requests, redelivery
 from devmetrics.operators.integration import integration_events
 from devmetrics.operators.review import commit_review_status
 from devmetrics.plans.staging import stage
@@ -25,6 +26,13 @@ PR_TABLES = {
 }
 
 
+def record_failed_writes(store: TableStore, failed: DataFrame, limit: int, now: Instant) -> None:
+    """Record events whose write failed; those that failed ``limit`` times before are set aside."""
+    routes = stage(ingest.route_failed_writes(failed, store.read("failure_events"), limit))
+    store.append("dead_letters", routes.filter(F.col("route") == ingest.DLQ))
+    store.append("failure_events", ingest.failure_records(routes, now))
+
+
 def load_integration_events(store: TableStore) -> None:
     rows = integration_events(store.read("optimized_events"), store.read("integration_events"))
     store.append("integration_events", rows)

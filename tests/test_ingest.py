@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from devmetrics.functions.payload import json_scalar, payload_ddl
 from devmetrics.functions.signature import hmac_sha256_hex
 from devmetrics.operators import ingest
+from devmetrics.plans import jobs
 from devmetrics.sources.webhooks import from_requests
 
 SECRET = b"test-github-webhook-secret"
@@ -199,6 +200,14 @@ def test_routes(spark):
     assert {r[1:] for r in rows(unknown)} == {(None, "UNRECORDED", 500)}
 
 
+def test_failed_writes_job(spark, store):
+    failed = events(spark, event("push", {"a": 1}, "d")).select(*ingest.EVENT_COLUMNS)
+    for attempt in range(3):
+        jobs.record_failed_writes(store, failed, 2, f"2024-01-0{attempt + 1} 00:00:00 UTC")
+    assert store.read("failure_events").count() == 2
+    assert rows(store.read("dead_letters"), "delivery_id", "payload") == [("d", '{"a": 1}')]
+
+
 def test_failure_counts(spark):
     got = ingest.failure_counts(failures(spark, a=1, b=2, c=3), 2)
     assert rows(got) == [("a", 1, False), ("b", 2, True), ("c", 3, True)]

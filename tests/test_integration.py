@@ -96,6 +96,27 @@ def test_field_precedence_and_names(spark):
     ]
 
 
+def test_sample_pull_request(spark):
+    payload = {
+        "action": "opened",
+        "number": 2,
+        "pull_request": {
+            "id": 279147437,
+            "html_url": "https://github.com/Codertocat/Hello-World/pull/2",
+            "user": {"login": "Codertocat"},
+            "merged_at": None,
+            "head": {"ref": "changes", "sha": "ec26c3e57ca3a959ca5aad62de7213c562f8c821"},
+            "merged": False,
+        },
+        "repository": {"html_url": "https://github.com/Codertocat/Hello-World"},
+        "sender": {"login": "Codertocat"},
+    }
+    columns = ("username", "github_event_type", "event_id", "ref_name", "enterprise")
+    assert rows(integration_events(events(spark, event("pull_request", payload))), *columns) == [
+        ("codertocat", "PR_OPENED", "279147437", "changes", None)
+    ]
+
+
 def test_source_defaults_to_hosted(spark):
     df = events(
         spark,

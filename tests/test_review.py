@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import pytest
 from helpers import event, events, final_plan, rows, ts
+from pyspark.sql import functions as F
 
 from devmetrics.functions.links import url_prefix
 from devmetrics.operators import review
@@ -247,6 +248,24 @@ def test_breakglass_matches_brute_force_for_a_busy_author(spark):
     assert any(expected.values())
 
 
+def test_buckets_cover_their_interval_and_stay_few(spark):
+    rng = random.Random(5)
+    data = []
+    for _ in range(2000):
+        start = rng.randrange(-10**9, 2 * 10**9)
+        length = int(10 ** rng.uniform(0, 8.5))
+        data.append((start, start + length, start + rng.randrange(length + 1)))
+    df = spark.createDataFrame(data, "s bigint, e bigint, t bigint").selectExpr(
+        "timestamp_seconds(s) s", "timestamp_seconds(e) e", "timestamp_seconds(t) t"
+    )
+    issue_buckets = review._issue_buckets(F.col("s"), F.col("e"))
+    probe_buckets = review._probe_buckets(F.col("t"))
+    common = F.size(F.array_intersect(issue_buckets, probe_buckets))
+    got = df.select(F.size(issue_buckets).alias("n"), common.alias("common"))
+    assert got.filter("common <> 1").count() == 0
+    assert got.agg({"n": "max"}).first()[0] <= review.BUCKET_FACTOR + 1
+
+
 def test_job_is_idempotent_and_retries_transient_errors(spark, store):
     store.append(
         "optimized_events",
