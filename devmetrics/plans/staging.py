@@ -16,7 +16,7 @@ def stage(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

@@ -292,7 +292,8 @@ WHERE received > (SELECT m FROM mark)
                   AND loaded.timestamp_seconds = (SELECT m FROM mark))""",
 )
 def _(d):
-    loaded = classify_events(d.events.filter(F.col("received") < FEED_LOADED_UNTIL))
+    # Staged, as the target is a table: it is read for its newest second and its ids.
+    loaded = stage(classify_events(d.events.filter(F.col("received") < FEED_LOADED_UNTIL)))
     return integration_events(d.events, loaded)
 
 
