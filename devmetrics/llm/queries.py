@@ -80,3 +80,27 @@ def _quality_rules(spark, sf_dir):
     from devmetrics.llm.quality import quality_report
 
     return quality_report(_table(spark, sf_dir, "documents"))
+
+
+@_query("op2_mixing")
+def _mixing(spark, sf_dir):
+    from devmetrics.llm.mixing import mix
+
+    out = mix(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@_query("op8_url_filters")
+def _url_filters(spark, sf_dir):
+    from devmetrics.llm.url_filter import url_verdicts
+
+    return url_verdicts(_table(spark, sf_dir, "pages"))
+
+
+@_query("op10_packing")
+def _packing(spark, sf_dir):
+    import public_tokenizers
+
+    from devmetrics.llm.packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
