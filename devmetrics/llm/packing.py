@@ -4,7 +4,8 @@ A document longer than ``capacity`` is cut into full pieces, the first one
 shorter; a full piece is a sequence of its own. What is shorter is packed: the
 state is the number of open sequences for each residual gap, and a document
 goes where the sum of the squares of these numbers becomes smallest. That keeps
-gaps of all sizes in store and leaves little waste.
+gaps of all sizes in store and leaves little waste. What lies in sequences that
+stay open is packed once more by itself, as long as that saves sequences.
 
 The rule needs lengths only. Documents are spread over shards of some
 ``SHARD`` by a hash; each shard packs its own, longest first, in one task of
@@ -33,16 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devmetrics.llm.staging import Workspace
+from devmetrics.llm.staging import Workspace, importable
 
 CAPACITY = 1024
 END_ID = 2
 # Documents that one task packs, about.
 SHARD = 65_536
 # Words whose ids a worker remembers; beyond it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
-_GLUED = re.compile(r"^ | $| \s|\s ")
+_GLUED = re.compile(r"\s\s")
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -59,27 +60,51 @@ class Ids:
         self.encoding = tiktoken.Encoding(
             "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        outer = self
-
-        class Words(dict):
-            def __missing__(self, word):
-                if len(self) >= REMEMBERED:
-                    self.clear()
-                self[word] = found = outer.whole(" " + word)
-                return found
-
-        self.words = Words()
+        (self.newline,) = self.encoding.encode_ordinary("\n")
+        self.words: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
 
-    def of(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if _GLUED.search(text):
-            return self.whole(text)
-        first, *rest = text.split(" ")
-        return self.whole(first) + b"".join(map(self.words.__getitem__, rest))
+    def learn(self, words: set[str]) -> None:
+        """Remembers the ids of ``words``, each with a space before it."""
+        if len(self.words) > REMEMBERED:
+            self.words = {}
+        new = words - self.words.keys()
+        lines = [w for w in new if "\n" not in w]
+        self.words.update((w, self.whole(" " + w)) for w in new.difference(lines))
+        # One call for all: the tokenizer makes the line ends tokens of their own.
+        ids = np.array(self.encoding.encode_ordinary("".join(f" {w}\n" for w in lines)), "<u4")
+        ends = np.flatnonzero(ids == self.newline)
+        blob, start = ids.tobytes(), 0
+        for word, end in zip(lines, ends.tolist(), strict=True):
+            self.words[word] = blob[4 * start : 4 * end]
+            start = end + 1
+
+    def of(self, texts: list[str | None]) -> list[bytes]:
+        split = [
+            None if not t or t[0].isspace() or t[-1].isspace() or _GLUED.search(t) else t.split(" ")
+            for t in texts
+        ]
+        self.learn({w for words in split if words for w in words[1:]})
+        return [
+            self.whole(text or "")
+            if words is None
+            else self.whole(words[0]) + b"".join(map(self.words.__getitem__, words[1:]))
+            for text, words in zip(texts, split)
+        ]
+
+
+def portions(texts: list[str | None], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of ``texts`` of about ``size`` characters."""
+    start = total = 0
+    for i, text in enumerate(texts):
+        total += len(text or "")
+        if total >= size:
+            yield start, i + 1
+            start, total = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
 
 _IDS: dict[str, Ids] = {}
@@ -114,12 +139,14 @@ def tokenised(
         source = ids_of(ranks_path)
         for batch in batches:
             rows = []
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                blob = memoryview(source.of(value.as_py()) + end)
-                for piece, (start, length) in enumerate(cut(len(blob) // 4, capacity)):
-                    part = blob[4 * start : 4 * (start + length)]
-                    row = (key, piece, start, length, zlib.crc32(part))
-                    rows.append((*row, np.frombuffer(part, "<i4")) if ids else row)
+            keys, texts = (c.to_pylist() for c in batch.columns)
+            for a, b in portions(texts):
+                for key, blob in zip(keys[a:b], source.of(texts[a:b])):
+                    blob = memoryview(blob + end)
+                    for piece, (start, length) in enumerate(cut(len(blob) // 4, capacity)):
+                        part = blob[4 * start : 4 * (start + length)]
+                        row = (key, piece, start, length, zlib.crc32(part))
+                        rows.append((*row, np.frombuffer(part, "<i4")) if ids else row)
             columns = list(zip(*rows)) or [[]] * len(schema)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema
@@ -168,6 +195,20 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
     return bins, offsets, np.array(fill, np.int64)
 
 
+def repacked(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``sum_of_squares``, with what lies in open bins packed again as long as that saves bins."""
+    bins, offsets, fill = sum_of_squares(sizes, capacity)
+    while True:
+        open_ = np.flatnonzero(fill < capacity)
+        loose = np.flatnonzero(fill[bins] < capacity)
+        again, at, filled = sum_of_squares(sizes[loose], capacity)
+        if len(filled) >= len(open_):
+            return bins, offsets, fill
+        bins[loose], offsets[loose] = open_[again], at
+        fill[open_] = 0
+        fill[open_[: len(filled)]] = filled
+
+
 def _pack_level(items: DataFrame, shards: int, level: int, capacity: int) -> DataFrame:
     """(item, bin, offset, fill) for items (item, size), shard by shard."""
 
@@ -175,7 +216,7 @@ def _pack_level(items: DataFrame, shards: int, level: int, capacity: int) -> Dat
         shard = table.column("shard")[0].as_py()
         order = np.argsort(table.column("item").to_numpy(), kind="stable")
         item = table.column("item").to_numpy()[order]
-        bins, offsets, fill = sum_of_squares(table.column("size").to_numpy()[order], capacity)
+        bins, offsets, fill = repacked(table.column("size").to_numpy()[order], capacity)
         base = (level << 56) | (shard << 24)
         return pa.table({"item": item, "bin": base + bins, "offset": offsets, "fill": fill[bins]})
 
@@ -200,6 +241,7 @@ def pack(
     ``ranks_path`` names the vocabulary file of ranks. With ``ids`` the token
     ids of each piece are a column too.
     """
+    importable(docs.sparkSession)
     work = Workspace(docs.sparkSession)
     pieces = tokenised(docs, ranks_path, doc_id, text, capacity, end_id, ids)
     pieces = work.write(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")

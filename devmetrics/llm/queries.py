@@ -104,3 +104,13 @@ def _packing(spark, sf_dir):
     from devmetrics.llm.packing import pack
 
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@_query("op4_substring_dedup")
+def _substring_dedup(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from devmetrics.llm.substrings import without_repeats
+
+    out = without_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

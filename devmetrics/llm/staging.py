@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,15 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package from where the driver did."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 class Workspace:
     """Named tables of one run under the shared folder.
 
