@@ -114,3 +114,11 @@ def _substring_dedup(spark, sf_dir):
 
     out = without_repeats(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_query("op5_warc")
+def _warc(spark, sf_dir):
+    from devmetrics.llm.warc import archive
+
+    out = archive(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
