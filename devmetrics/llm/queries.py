@@ -122,3 +122,10 @@ def _warc(spark, sf_dir):
 
     out = archive(_table(spark, sf_dir, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query("op3_ngram_jaccard")
+def _ngram_jaccard(spark, sf_dir):
+    from devmetrics.llm.setjoin import links
+
+    return links(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
