@@ -129,3 +129,37 @@ def _ngram_jaccard(spark, sf_dir):
     from devmetrics.llm.setjoin import links
 
     return links(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+TOP_K_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@_query("op7_exact_topk", TOP_K_SQL)
+def _exact_topk(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from devmetrics.llm.topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query("op1_pii_surrogates")
+def _pii_surrogates(spark, sf_dir):
+    from devmetrics.llm.pii import pseudonymised
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymised(docs, mentions="n_mentions")
