@@ -163,3 +163,10 @@ def _pii_surrogates(spark, sf_dir):
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonymised(docs, mentions="n_mentions")
+
+
+@_query("op9_secret_scan")
+def _secret_scan(spark, sf_dir):
+    from devmetrics.llm.secrets import scan
+
+    return scan(_table(spark, sf_dir, "documents"))

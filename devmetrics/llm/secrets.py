@@ -1,0 +1,194 @@
+"""Secret scan with a random forest that removes false positives.
+
+A candidate is a run of at least ``MIN_LENGTH`` key-like characters. What it
+looks like, how usual its character transitions are, how much of it dictionary
+words cover, its path and the words around it are the features of a random
+forest, trained from labelled findings; candidates it takes for false positives
+are marked so.
+
+Dictionary and transitions are counted over all texts: a dictionary word is one
+that at least ``DICTIONARY_DOCS`` texts have. The forest is fitted on at most
+``TRAINING_ROWS`` findings, picked by a hash; every candidate is judged. All of
+it is DataFrame work on the JVM, the forest included.
+
+Defined cases: null and empty texts have no candidates. A null path or a missing
+neighbour is the word ``<none>``. Equal candidates in one text are separate
+rows, told apart by position. With labels of one kind only, that is the verdict
+for all; without labels every candidate counts as a secret. An empty table
+gives an empty result. Only the named columns are read.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from devmetrics.llm.staging import Workspace
+from devmetrics.llm.text import words
+
+MIN_LENGTH = 16
+DICTIONARY_DOCS = 5
+TRAINING_ROWS = 20_000
+TREES, DEPTH, SEED = 20, 6, 11
+HASHED = 128
+
+KEY_LIKE = r"[A-Za-z0-9+/=_\-]"
+CUES = r"(?i)^\W*(token|secret|password|passwd|apikey|api_key|key|credential)\W*$"
+
+
+def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
+    """doc_id, position, candidate, path and the neighbouring words; one row per candidate."""
+    df = docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(path).cast("string").alias("path"), words(F.col(text)).alias("w")
+    )
+    found = F.filter(
+        F.transform("w", lambda x, i: F.struct(F.regexp_extract(x, f"({KEY_LIKE}{{{MIN_LENGTH},}})", 1).alias("c"), i.alias("i"))),
+        lambda x: x["c"] != "",
+    )
+    long = F.exists("w", lambda x: F.length(x) >= MIN_LENGTH)
+    df = df.select("doc_id", "path", "w", F.explode(F.when(long, found)).alias("x"))
+    i = F.col("x.i")
+
+    def near(at: Column) -> Column:
+        return F.coalesce(F.lower(F.get("w", at)), F.lit("<none>"))
+
+    return df.select(
+        "doc_id",
+        i.alias("position"),
+        F.col("x.c").alias("candidate"),
+        F.coalesce("path", F.lit("<none>")).alias("path"),
+        near(i - 1).alias("left"),
+        near(i - 2).alias("left2"),
+        near(i + 1).alias("right"),
+        F.get("w", i).rlike("[\"'`]").alias("quoted"),
+    )
+
+
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, docs): in how many texts each run of at least three letters is a word."""
+    bare = F.transform(words(F.col(text)), lambda w: F.regexp_replace(F.lower(w), r"^[^\p{L}]+|[^\p{L}]+$", ""))
+    each = docs.select(F.explode(F.array_distinct(bare)).alias("word"))
+    return each.filter(r"length(word) > 2 AND word RLIKE '^\\p{L}+$'").groupBy("word").agg(F.count(F.lit(1)).alias("docs"))
+
+
+def _classes(text: Column) -> Column:
+    """Letters, one class of digits, one of the rest, between marks for begin and end."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(text), "[0-9]", "0"), "[^a-z0]", "#")
+    return F.concat(F.lit("^"), plain, F.lit("$"))
+
+
+def _pairs(text: Column) -> Column:
+    marked = _classes(text)
+    return F.transform(F.sequence(F.lit(1), F.length(marked) - 1), lambda i: F.substr(marked, i, F.lit(2)))
+
+
+def transitions(counts: DataFrame) -> DataFrame:
+    """(pair, surprise): how rare a character is after another; at most 30 * 30 rows."""
+    pairs = counts.select("docs", F.explode(_pairs(F.col("word"))).alias("pair"))
+    pairs = pairs.groupBy("pair").agg(F.sum("docs").alias("n"))
+    first = pairs.groupBy(F.substring("pair", 1, 1).alias("a")).agg(F.sum("n").alias("total"))
+    met = pairs.join(first, F.substring("pair", 1, 1) == F.col("a"))
+    return met.select("pair", (-F.log2((F.col("n") + 1) / (F.col("total") + 30))).alias("surprise"))
+
+
+def features(found: DataFrame, counts: DataFrame, pair_table: DataFrame) -> DataFrame:
+    """Adds the numeric features to candidates, via their distinct strings."""
+    each = found.select("candidate").distinct()
+    unseen = 12.0
+    pairs = each.select("candidate", F.explode(_pairs(F.col("candidate"))).alias("pair")).join(pair_table, "pair", "left")
+    rarity = pairs.groupBy("candidate").agg(
+        F.avg(F.coalesce("surprise", F.lit(unseen))).alias("surprise"),
+        F.max(F.coalesce("surprise", F.lit(unseen))).alias("worst"),
+    )
+    parts = F.regexp_extract_all("candidate", F.lit(r"([A-Z]?[a-z]+|[A-Z]+)"), 1)
+    runs = each.select("candidate", F.explode(parts).alias("part")).withColumn("word", F.lower("part"))
+    known = counts.filter(F.col("docs") >= DICTIONARY_DOCS).select("word")
+    covered = runs.join(known, "word").groupBy("candidate").agg(F.sum(F.length("part")).alias("covered"))
+    table = rarity.join(covered, "candidate", "left")
+
+    def share(pattern: str) -> Column:
+        return 1 - F.length(F.regexp_replace("candidate", pattern, "")) / F.length("candidate")
+
+    switches = F.size(F.regexp_extract_all("candidate", F.lit("([A-Za-z][0-9]|[0-9][A-Za-z])"), 1))
+    table = table.select(
+        "candidate", "surprise", "worst",
+        (F.coalesce("covered", F.lit(0)) / F.length("candidate")).alias("coverage"),
+        F.length("candidate").cast("double").alias("length"),
+        share("[0-9]").alias("digits"), share("[A-Z]").alias("capitals"), share("[^A-Za-z0-9]").alias("signs"),
+        (switches / F.length("candidate")).alias("switches"),
+    )
+    return found.join(table, "candidate")
+
+
+NUMERIC = ["surprise", "worst", "coverage", "length", "digits", "capitals", "signs", "switches"]
+TEXTUAL = ["path", "left", "left2", "right", "quoted"]
+
+
+def cue_labels(found: DataFrame) -> DataFrame:
+    """Findings labelled by what stands around them: quoted behind a cue word is a secret.
+
+    Stands in where nobody has labelled findings by hand.
+    """
+    near = F.col("left").rlike(CUES) | (F.col("left").rlike(r"^\W+$") & F.col("left2").rlike(CUES))
+    return found.withColumn("label", F.when(near & F.col("quoted"), 1.0).otherwise(0.0))
+
+
+def trained(findings: DataFrame):
+    """The model, or the one label there is, or None without labels; in: features and ``label``."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import FeatureHasher, VectorAssembler
+
+    order = F.xxhash64("candidate", "path", "left", "right", "position", "doc_id")
+    # Half of the sample for each label, so that rare secrets are learned too.
+    picked = None
+    for label in (0.0, 1.0):
+        part = findings.filter(F.col("label") == label).orderBy(order).limit(TRAINING_ROWS // 2)
+        picked = part if picked is None else picked.unionByName(part)
+    work = Workspace(findings.sparkSession)
+    rows = work.write(picked, "findings")
+    labels = sorted(r[0] for r in rows.select("label").distinct().limit(2).collect())
+    if len(labels) < 2:
+        return labels[0] if labels else None
+    stages = [
+        FeatureHasher(inputCols=TEXTUAL, outputCol="near", numFeatures=HASHED, categoricalCols=TEXTUAL),
+        VectorAssembler(inputCols=[*NUMERIC, "near"], outputCol="features"),
+        RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features"),
+    ]
+    return Pipeline(stages=stages).fit(rows.coalesce(1))
+
+
+def judged(found: DataFrame, model) -> DataFrame:
+    """Adds ``probability`` and ``is_secret`` to candidates with features."""
+    if model is None or isinstance(model, float):
+        return found.withColumn("probability", F.lit(1.0 if model is None else model)).withColumn(
+            "is_secret", F.col("probability") >= 0.5
+        )
+    from pyspark.ml.functions import vector_to_array
+
+    out = model.transform(found)
+    out = out.withColumn("probability", F.get(vector_to_array("probability"), F.lit(1)))
+    return out.withColumn("is_secret", F.col("probability") >= 0.5)
+
+
+def scan(
+    docs: DataFrame,
+    findings: DataFrame | None = None,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    path: str = "source",
+) -> DataFrame:
+    """doc_id, position (word), candidate, probability, is_secret of every candidate.
+
+    ``findings`` are labelled candidates: the columns of ``candidates`` and
+    ``label`` (1.0 for a secret). Without them ``cue_labels`` labels those of ``docs``.
+    """
+    work = Workspace(docs.sparkSession)
+    found = work.write(candidates(docs, doc_id, text, path), "candidates")
+    counts = work.write(word_counts(docs, text), "words")
+    pair_table = work.write(transitions(counts), "pairs")
+    seen = work.write(features(found, counts, pair_table), "features")
+    labelled = cue_labels(seen) if findings is None else features(findings, counts, pair_table)
+    model = trained(labelled)
+    work.drop("words", "candidates")
+    return judged(seen, model).select("doc_id", "position", "candidate", "probability", "is_secret")
