@@ -199,7 +199,7 @@ def repacked(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     """``sum_of_squares``, with what lies in open bins packed again as long as that saves bins."""
     bins, offsets, fill = sum_of_squares(sizes, capacity)
     while True:
-        open_ = np.flatnonzero(fill < capacity)
+        open_ = np.flatnonzero((fill > 0) & (fill < capacity))
         loose = np.flatnonzero(fill[bins] < capacity)
         again, at, filled = sum_of_squares(sizes[loose], capacity)
         if len(filled) >= len(open_):
