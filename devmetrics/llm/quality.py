@@ -153,8 +153,8 @@ def with_metrics(df: DataFrame, names: Sequence[str], alive: Column | None = Non
 def cascade(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Adds ``__rejected_by``, the first rule of ``rules`` that rejects the row, else null.
 
-    The last step draws a number without using it: Spark leaves a filter above
-    a nondeterministic column. Pushed below, it would copy the whole cascade
+    The last step asks for the partition, which is never below 0: Spark leaves a
+    filter above a column that is not deterministic. Pushed below, it would copy the whole cascade
     into one condition, once for each mention of an earlier verdict.
     """
     df = df.withColumn("__rejected_by", F.lit(None).cast("string"))
@@ -164,7 +164,7 @@ def cascade(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         df = df.withColumn(
             "__rejected_by", F.coalesce(_row("rejected_by"), F.when(rule.rejects(), F.lit(rule.name)))
         )
-    return df.withColumn("__rejected_by", F.when(F.rand(0) >= 0, _row("rejected_by")))
+    return df.withColumn("__rejected_by", F.when(F.spark_partition_id() >= 0, _row("rejected_by")))
 
 
 def order_rules(
