@@ -167,6 +167,6 @@ def _pii_surrogates(spark, sf_dir):
 
 @_query("op9_secret_scan")
 def _secret_scan(spark, sf_dir):
-    from devmetrics.llm.secrets import scan
+    from devmetrics.llm.secret_scan import scan
 
     return scan(_table(spark, sf_dir, "documents"))

@@ -8,7 +8,7 @@ The search doubles lengths. The first level looks at short windows of half the
 length, and of those only at one in each long window, the one with the
 smallest hash: equal long windows have it at the same place. Short windows
 that occur once are done. Where one repeats, and only there, the second level
-extends it to the full length, at every place where it lies in a long window.
+compares the windows of about twice that length, the full one, around it.
 Both levels meet in one shuffle, since a short window travels with the hashes
 of the long windows it stands for.
 
@@ -41,8 +41,10 @@ WINDOW = 13
 PORTION = 1 << 20
 
 _NO_ID = np.iinfo(np.int64).max
-_HITS = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("meta", pa.int32()), ("long", pa.binary())])
-_FOUND = pa.schema([("doc", pa.int64()), ("at", pa.int32()), ("meta", pa.int32())])
+# ``place`` holds a tag of the text, which long windows, and the word: tag << 40 | bits << 32 | word.
+_HITS = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("long", pa.binary())])
+_FOUND = pa.schema([("doc", pa.int64()), ("place", pa.int64())])
+_WORD, _BITS = (1 << 32) - 1, 0xFF << 32
 
 
 def _portions(counts: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -70,7 +72,7 @@ def _hits(batch: Batch, a: int, b: int, ids: np.ndarray, tags: np.ndarray, windo
     """The short windows of texts ``a`` to ``b`` with the long windows that are not decided yet."""
     base, end = batch.first[a], batch.first[b]
     first, words = batch.first[a : b + 1] - base, batch.hash[base:end]
-    half = (window + 1) // 2
+    half = window // 2
     reach = window - half + 1
     long, text = runs(words, first, window)
     starts = np.flatnonzero(text >= 0)
@@ -100,7 +102,7 @@ def _hits(batch: Batch, a: int, b: int, ids: np.ndarray, tags: np.ndarray, windo
         k = at - starts[pick]
         mask = np.add.reduceat(np.left_shift(1, k), group)
         t, at = t[group], at[group]
-        meta = (tags[a:b][t].astype(np.int64) << 8 | mask).astype(np.int32)
+        place = tags[a:b][t].astype(np.int64) << 40 | mask << 32 | (at - first[t])
         if decided:
             h = (ids[a:b][t].astype(np.uint64) + at.astype(np.uint64)).astype(np.int64)
             blob = pa.nulls(len(group), pa.binary())
@@ -111,11 +113,8 @@ def _hits(batch: Batch, a: int, b: int, ids: np.ndarray, tags: np.ndarray, windo
             blob = pa.Array.from_buffers(
                 pa.binary(), len(group), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]
             )
-        place = (at - first[t]).astype(np.int32)
         out.append(
-            pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(ids[a:b][t]), pa.array(place), pa.array(meta), blob], schema=_HITS
-            )
+            pa.RecordBatch.from_arrays([pa.array(h), pa.array(ids[a:b][t]), pa.array(place), blob], schema=_HITS)
         )
     return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
 
@@ -145,10 +144,11 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Long windows that a smaller id has; in: hits in order of short window and id."""
     seen: dict[str, np.ndarray] | None = None
     for table in batches:
-        h, doc, at, meta = (table.column(i).to_numpy() for i in range(4))
-        blobs = table.column(4)
+        h, doc, place = (table.column(i).to_numpy() for i in range(3))
+        blobs = table.column(3)
         undecided = blobs.is_valid().to_numpy(zero_copy_only=False)
-        mask = np.where(undecided, meta & 0xFF, 0)
+        bits = (place & _BITS) >> 32
+        mask = np.where(undecided, bits, 0)
         row, k = _bits(mask)
         joined = pa.concat_arrays([blobs.drop_null()])
         offsets = np.frombuffer(joined.buffers()[1], np.int32)[joined.offset : joined.offset + len(joined) + 1]
@@ -172,17 +172,15 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = np.bincount(row, np.where(later[n_seen:], np.left_shift(1, k), 0), len(h)).astype(np.int64)
         else:
             gone = np.zeros(len(h), np.int64)
-        gone = np.where(undecided, gone, meta & 0xFF)
+        gone = np.where(undecided, gone, bits)
         pick = np.flatnonzero(gone)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[pick]), pa.array(at[pick]), pa.array(((meta[pick] & ~0xFF) | gone[pick]).astype(np.int32))],
-            schema=_FOUND,
-        )
+        left = (place[pick] & ~_BITS) | gone[pick] << 32
+        yield pa.RecordBatch.from_arrays([pa.array(doc[pick]), pa.array(left)], schema=_FOUND)
 
 
 def _tag():
-    """24 bits of the text, to tell rows with equal ids apart."""
-    return F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFF)).cast("int")
+    """22 bits of the text, to tell rows with equal ids apart."""
+    return F.xxhash64("text").bitwiseAND(F.lit(0x3FFFFF)).cast("int")
 
 
 def _kept(window: int):
@@ -195,9 +193,9 @@ def _kept(window: int):
                 words = (text.as_py() or "").encode().split()
                 keep = words
                 if found.is_valid:
-                    flat = np.array([(x["at"], x["meta"]) for x in found.as_py()], np.int64)
-                    row, k = _bits(flat[:, 1] & 0xFF)
-                    start = flat[row, 0] - k
+                    place = np.asarray(found.values, np.int64)
+                    row, k = _bits((place & _BITS) >> 32)
+                    start = (place & _WORD)[row] - k
                     gone = np.zeros(len(words) + 1, np.int64)
                     np.add.at(gone, start, 1)
                     np.add.at(gone, start + window, -1)
@@ -213,18 +211,18 @@ def without_repeats(
     docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_removed and kept_text, its kept words joined by one space."""
-    if not 2 <= window <= 15:
-        raise ValueError("a window has 2 to 15 words")
+    if not 2 <= window <= 14:
+        raise ValueError("a window has 2 to 14 words")
     importable(docs.sparkSession)
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     hits = texts.select("doc_id", _tag().alias("tag"), "text").mapInArrow(
-        _short_windows(window), "h bigint, doc bigint, at int, meta int, long binary"
+        _short_windows(window), "h bigint, doc bigint, place bigint, long binary"
     )
     found = hits.repartition("h").sortWithinPartitions("h", "doc").mapInArrow(
-        _extended, "doc bigint, at int, meta int"
+        _extended, "doc bigint, place bigint"
     )
-    per_doc = found.groupBy("doc", F.shiftright("meta", 8).alias("tag")).agg(
-        F.collect_list(F.struct("at", "meta")).alias("found")
+    per_doc = found.groupBy("doc", F.shiftright("place", 40).cast("int").alias("tag")).agg(
+        F.collect_list("place").alias("found")
     )
     keyed = texts.select(
         "doc_id", "text", F.coalesce("doc_id", F.lit(int(_NO_ID))).alias("doc"), _tag().alias("tag")
