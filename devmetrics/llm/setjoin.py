@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from devmetrics.llm.bits import Bits
 from devmetrics.llm.staging import Workspace, importable
 from devmetrics.llm.wordhash import Batch, mixed, runs
 
@@ -369,10 +370,18 @@ def _node(n: str = "n", nid: str = "nid"):
     return F.struct(F.col(n).alias("n"), F.col(nid).alias("nid"))
 
 
+def _key(doc_id: str = "doc_id"):
+    """The id as a join key that is never null."""
+    return F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63)))
+
+
 def links(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE
 ) -> DataFrame:
-    """Per document: doc_id, tag (64 bits of its text), n_shingles, component_id."""
+    """Per document: doc_id, tag (64 bits of its text), n_shingles, component_id, component.
+
+    ``component`` tells components apart where ids repeat; it is null without shingles.
+    """
     spark = docs.sparkSession
     importable(spark)
     work = Workspace(spark)
@@ -415,9 +424,15 @@ def links(
     ends = pairs.select("n", "nid").unionByName(pairs.select("n2", "nid2").toDF("n", "nid"))
     ends = ends.unionByName(long.select("n", "nid")).distinct()
     wanted = work.write(classes.join(ends, ["n", "nid"], "left_semi"), "wanted")
-    known = wanted.select("n", "nid", F.col("doc_id").alias("of"), F.col("tag").alias("t"))
-    bodies = texts.join(known, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("tag") == F.col("t")))
-    bodies = work.write(bodies.groupBy("n", "nid").agg(F.first("text").alias("text")), "bodies")
+    known = wanted.select("n", "nid", _key().alias("key"), "tag")
+    # Texts that no candidate needs stay where they are.
+    asked, _ = Bits(known, F.xxhash64("key", "tag")).split(
+        texts.select(_key().alias("key"), "tag", "text"), F.xxhash64("key", "tag")
+    )
+    bodies = asked.join(known, ["key", "tag"]).groupBy("key", "tag").agg(
+        F.first("n").alias("n"), F.first("nid").alias("nid"), F.first("text").alias("text")
+    )
+    bodies = work.write(bodies.select("n", "nid", "text"), "bodies")
 
     def verify(candidates: DataFrame) -> DataFrame:
         other = bodies.select(F.col("n").alias("n2"), F.col("nid").alias("nid2"), F.col("text").alias("text2"))
@@ -447,10 +462,14 @@ def links(
     named = classes.select(_node().alias("node"), "doc_id").join(found, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    names = named.join(smallest, "component").select("node.n", "node.nid", "component_id")
+    names = named.join(smallest, "component").select(
+        "node.n", "node.nid", "component_id", F.xxhash64("component").alias("component")
+    )
     out = profiles.join(names, ["n", "nid"], "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "tag", F.col("n").cast("bigint").alias("n_shingles"), own.alias("component_id"))
+    return out.select(
+        "doc_id", "tag", F.col("n").cast("bigint").alias("n_shingles"), own.alias("component_id"), "component"
+    )
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -461,20 +480,22 @@ def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     """
     work = Workspace(docs.sparkSession)
     met = work.write(links(docs, doc_id, text, **options).filter("n_shingles > 0"), "links")
-    group = F.coalesce("component_id", F.xxhash64("tag"))
-    keys = met.groupBy("doc_id", "tag").agg(F.first(group).alias("group"), F.count(F.lit(1)).alias("rows"))
+    keys = met.groupBy(_key().alias("__key"), "tag").agg(
+        F.first("component").alias("group"), F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows")
+    )
     best = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tag"))).alias("best")
-    kept = keys.join(keys.groupBy(F.col("group").alias("g")).agg(best), F.col("group") == F.col("g"))
+    kept = keys.join(keys.groupBy("group").agg(best), "group")
     same = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("tag") == F.col("best.tag"))
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), same.alias("stays"), "rows")
-    kept = work.write(kept.filter("NOT stays OR rows > 1"), "changed")
+    kept = kept.select("__key", F.col("tag").alias("__tag"), same.alias("__stays"), "rows")
+    # Rows that go, and rows that stay but occur several times.
+    kept = work.write(kept.filter("NOT __stays OR rows > 1").drop("rows"), "changed")
 
-    def on(df: DataFrame):
-        return F.col(f"__row.{doc_id}").cast("bigint").eqNullSafe(df["__id"]) & (
-            F.xxhash64(F.col(f"__row.{text}")) == df["__tag"]
-        )
-
-    rows = docs.select(F.struct("*").alias("__row"))
-    once = kept.filter("stays")
-    single = rows.join(once, on(once)).groupBy("__id", "__tag").agg(F.first("__row").alias("__row"))
-    return rows.join(kept, on(kept), "left_anti").unionByName(single.select("__row")).select("__row.*")
+    rows = docs.select(
+        F.struct("*").alias("__row"), _key(doc_id).alias("__key"), F.xxhash64(F.col(text)).alias("__tag")
+    )
+    bits = Bits(kept, F.xxhash64("__key", "__tag"))
+    maybe, clear = bits.split(rows, F.xxhash64("__key", "__tag"))
+    met = maybe.join(kept, ["__key", "__tag"], "left")
+    once = met.filter("__stays").groupBy("__key", "__tag").agg(F.first("__row").alias("__row"))
+    out = clear.select("__row").unionByName(met.filter("__stays IS NULL").select("__row"))
+    return out.unionByName(once.select("__row")).select("__row.*")

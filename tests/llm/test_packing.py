@@ -1,0 +1,63 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from devmetrics.llm import packing
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    return t
+
+
+def test_ids_equal_the_tokenizer(tokenizer, odd):
+    texts = [
+        " a  b", "a \n b", "\t q", "don't  we'll", "日本語 テスト 🎉🎉 ok", "a\r\nb c", "end ", "<|endoftext|> hi",
+        "1234 5 6", "\x1c a\x85 b", "a\u00a0 b", "a b\nc d", "a\n\nb c\n d", "q \x0b", "x", *(r["text"] for r in odd.collect()),
+    ]
+    ids = packing.Ids(RANKS)
+    for text, blob in zip(texts, ids.of(texts)):
+        assert np.frombuffer(blob, "<u4").tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_every_piece_has_its_place(spark, odd, nothing, tokenizer):
+    out = packing.pack(odd, RANKS, shard=4, ids=True).collect()
+    wanted = sorted(
+        (np.array([*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for r in odd.collect()),
+    )
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in out:
+        assert 1 <= r["length"] <= 1024 and r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+        assert r["piece"] == 0 or r["length"] == 1024
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in by_sequence.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= 1024
+    whole = [b"".join(np.array(r["ids"], "<u4").tobytes() for r in sorted(v, key=lambda r: r["piece"])) for k, v in by_doc.items() if k in (1, 4, 7, 9)]
+    assert all(w in wanted for w in whole)
+    assert sum(r["length"] for r in out) == sum(len(w) // 4 for w in wanted)
+    assert packing.pack(nothing, RANKS).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 4000])
+def test_little_waste(n):
+    sizes = np.random.default_rng(n).integers(1, 700, n)
+    bins, offsets, fill = packing.repacked(sizes, 1024)
+    for b in np.unique(bins):
+        at = np.flatnonzero(bins == b)
+        at = at[np.argsort(offsets[at])]
+        assert (offsets[at] == np.concatenate([[0], np.cumsum(sizes[at])[:-1]])).all() and sizes[at].sum() <= 1024
+    assert len(np.unique(bins)) <= 1.02 * sizes.sum() / 1024 + 2

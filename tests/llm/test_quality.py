@@ -1,0 +1,67 @@
+import re
+from collections import Counter
+
+from devmetrics.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = {i + k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(8)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return (
+        len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"),
+        len(lines) - len(set(lines)), len(covered),
+    )
+
+
+def test_base_metrics(odd):
+    got = quality.quality_report(odd).collect()
+    texts = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    wanted = Counter((i, *brute(t)) for i, t in texts)
+    assert Counter((r[0], *r[1:6]) for r in got) == wanted
+    for r in got:
+        assert r["base_failed"] == (r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"])
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_verdict_does_not_depend_on_the_order(odd):
+    df = quality._packed(odd, "text")
+
+    def rejected(rules):
+        out = quality.cascade(df, rules).selectExpr("__row.doc_id", "__rejected_by IS NOT NULL AS gone")
+        return sorted(map(tuple, out.collect()), key=repr)
+
+    assert rejected(quality.RULES) == rejected(quality.RULES[::-1])
+
+
+def test_filter_keeps_rows_as_they_are(odd):
+    kept = quality.quality_filter(odd)
+    assert kept.columns == odd.columns
+    good = Counter(r["doc_id"] for r in quality.quality_report(odd).collect() if r["kept"])
+    assert Counter(r["doc_id"] for r in kept.collect()) == good
+    assert kept.filter("doc_id = 1").count() == 1
+
+
+def test_rules_catch_what_they_name(spark):
+    words = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    bad = {
+        "symbols": words.replace(" ", "%% "),
+        "repeated_lines": "\n".join([words[:30]] * 3 + [words]),
+        "upper_case": words.upper(),
+        "stutter": " ".join(w for w in words.split()[:20] for _ in range(4)),
+        "word_length": " ".join("x" * 20 + str(i) for i in range(60)),
+    }
+    docs = spark.createDataFrame([*bad.items(), ("good", words)], "doc_id string, text string")
+    for rule in quality.RULES[2:]:
+        out = quality.cascade(quality._packed(docs, "text"), [rule]).filter("__rejected_by IS NOT NULL")
+        gone = {r[0] for r in out.select("__row.doc_id").collect()}
+        assert rule.name in gone and "good" not in gone
+
+
+def test_empty_table(nothing):
+    assert quality.quality_report(nothing).count() == 0
+    assert quality.quality_filter(nothing).count() == 0
