@@ -13,14 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PARSED = "p"
+_RAW = "_payload"
 
 
-def payload_ddl(*paths: str) -> str:
-    """DDL of the smallest struct that holds the dotted ``paths``.
-
-    A leaf is STRING unless given as ``path:type``, for example
-    ``commits:array<struct<id:string>>``.
-    """
+def _tree(*paths: str) -> dict:
+    """The dotted ``paths`` as nested names; a leaf is its type, STRING unless given."""
     tree: dict = {}
     for path in paths:
         dotted, _, leaf_type = path.partition(":")
@@ -29,13 +26,41 @@ def payload_ddl(*paths: str) -> str:
         for name in parents:
             node = node.setdefault(name, {})
         node[leaf] = leaf_type or "string"
+    return tree
+
+
+def payload_ddl(*paths: str) -> str:
+    """DDL of the smallest struct that holds the dotted ``paths``.
+
+    A leaf is STRING unless given as ``path:type``, for example
+    ``commits:array<struct<id:string>>``.
+    """
 
     def render(node: dict | str) -> str:
         if isinstance(node, str):
             return node
         return f"struct<{','.join(f'{name}:{render(child)}' for name, child in node.items())}>"
 
-    return ", ".join(f"{name} {render(child)}" for name, child in tree.items())
+    return ", ".join(f"{name} {render(child)}" for name, child in _tree(*paths).items())
+
+
+def _scalar_leaves(tree: dict, node: Column, payload: Column, path: str = "$") -> list[Column]:
+    """The fields of ``node``, a leaf of type STRING NULL where the payload has an object or array.
+
+    The parse gives such a leaf as its JSON text. Only a text that opens like
+    one is looked up by type, since it may also be a genuine string.
+    """
+    out = []
+    for name, child in tree.items():
+        value, at = node[name], f"{path}.{name}"
+        if isinstance(child, dict):
+            value = F.struct(*_scalar_leaves(child, value, payload, at))
+        elif child == "string":
+            kind = variant_kind(F.try_parse_json(payload), at)
+            nested = value.rlike(r"^\s*[\[{]") & kind.rlike("^(OBJECT|ARRAY)")
+            value = F.when(~F.coalesce(nested, F.lit(False)), value)
+        out.append(value.alias(name))
+    return out
 
 
 def parse_payload(
@@ -43,7 +68,9 @@ def parse_payload(
 ) -> DataFrame:
     """Columns ``keep`` plus the struct ``p`` of the wanted payload paths."""
     parsed = F.from_json(F.col(column), payload_ddl(*paths))
-    return df.select(*keep, F.explode(F.array(parsed)).alias(PARSED))
+    raw = df.select(*keep, F.col(column).alias(_RAW), F.explode(F.array(parsed)).alias(PARSED))
+    leaves = _scalar_leaves(_tree(*paths), F.col(PARSED), F.col(_RAW))
+    return raw.select(*keep, F.struct(*leaves).alias(PARSED))
 
 
 def field(path: str) -> Column:

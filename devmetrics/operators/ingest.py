@@ -27,24 +27,24 @@ IDENTITY_COLUMNS = [
     "repository_id", "repository_name",
 ]
 
-# Size cap, response codes, reject reasons, routes.
-MAX_PAYLOAD_BYTES = 25_000_000
+# Response codes, reject reasons, routes.
 CREATED, BAD_REQUEST, UNAUTHORIZED, SERVER_ERROR = 201, 400, 401, 500
 NO_PAYLOAD = "no payload received"
 BAD_SIGNATURE = "failed to validate webhook signature"
 DLQ, RECORD, UNRECORDED = "DLQ", "RECORD", "UNRECORDED"
 
 
-def validate_webhooks(raw: DataFrame, secret: bytes) -> DataFrame:
+def validate_webhooks(raw: DataFrame, secret: bytes, max_bytes: int | None = None) -> DataFrame:
     """``raw`` (delivery_id, signature, received, event, body BINARY) with its verdict.
 
     Adds ``status_code``, ``reason`` (NULL if accepted) and the text ``payload``.
-    A body above the size cap cannot carry a valid signature and is rejected.
+    A listener that reads ``max_bytes`` of a body at most rejects longer ones as
+    unsigned; give its limit to get the same verdicts. By default there is none.
     """
     body = F.coalesce(F.col("body"), F.lit(b""))
     expected = webhook_signature(secret, body)
     signed = F.coalesce(F.col("signature") == expected, F.lit(False))
-    oversized = F.octet_length(body) > MAX_PAYLOAD_BYTES
+    oversized = F.lit(False) if max_bytes is None else F.octet_length(body) > max_bytes
     code = (
         F.when(F.octet_length(body) == 0, BAD_REQUEST)
         .when(oversized | ~signed, UNAUTHORIZED)
@@ -67,7 +67,8 @@ def accepted_events(verdicts: DataFrame) -> DataFrame:
 
 
 def rejected_webhooks(verdicts: DataFrame) -> DataFrame:
-    return verdicts.filter(F.col("status_code") != CREATED).drop("payload")
+    """What was not accepted, with its payload, so that nothing is lost."""
+    return verdicts.filter(F.col("status_code") != CREATED)
 
 
 def unwrap_messages(messages: DataFrame, column: str = "message") -> DataFrame:

@@ -59,7 +59,8 @@ def since_checkpoint(deliveries: DataFrame, checkpoint_id: str | int | None) ->
 
 
 def is_failed() -> Column:
-    return ~F.col("status_code").between(200, 299)
+    """No answer code counts as a failure too."""
+    return ~F.coalesce(F.col("status_code").between(200, 299), F.lit(False))
 
 
 def failed_deliveries(

@@ -38,22 +38,16 @@ def load_integration_events(store: TableStore) -> None:
     store.append("integration_events", rows)
 
 
-# Most pull requests of one run whose ids are broadcast: at some 30 bytes each,
-# well under Spark's own limit of 8 GB and fit for any executor.
-MAX_BROADCAST_IDS = 1_000_000
-
-
 def load_pull_request_stats(store: TableStore, table: str) -> None:
     """Append the pull requests that closed since the last run.
 
     Their reviews and comments may be of any age, so all review events are
-    read. If the run has few enough pull requests, which is counted, rows of
-    all others are dropped right after the parse instead of being shuffled.
+    read. Rows of other pull requests are dropped by a semi join, which Spark
+    broadcasts or shuffles by the measured size of the staged ids.
     """
     events, target = store.read("optimized_events"), store.read(table)
     ids = stage(pull_requests.new_pull_request_ids(events, target))
-    only = ids if ids.count() <= MAX_BROADCAST_IDS else None
-    store.append(table, PR_TABLES[table](events, target, only))
+    store.append(table, PR_TABLES[table](events, target, ids))
 
 
 def review_commits(
@@ -78,7 +72,7 @@ def review_commits(
     store.append("commit_review_status", rows)
 
 
-def plan_log_fetch(store: TableStore, batch_size: int | None = art.DEFAULT_BATCH) -> DataFrame:
+def plan_log_fetch(store: TableStore, batch_size: int | None = None) -> DataFrame:
     """The runs whose logs to fetch now. Staged: the answers must meet the same rows."""
     queue = art.artifact_queue(store.read("optimized_events"), store.read("artifacts"), batch_size)
     return stage(queue)

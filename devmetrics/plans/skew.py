@@ -18,10 +18,6 @@ _FINGERPRINT = "_fingerprint"
 # Rows one generator step may hold in memory while copies are written out.
 REPEAT_BLOCK = 10_000
 
-# At most this many keys are treated as heavy. The key ranked n-th cannot hold
-# more than 1/n of the rows, so every key left out holds under 0.1% of them.
-MAX_HEAVY_KEYS = 1_000
-
 
 def one_row_per_key(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
     """``df`` reduced to one row per key, ready for a skew-splittable join."""
@@ -32,15 +28,6 @@ def one_row_per_key(df: DataFrame, keys: list[str], *aggregates: Column) -> Data
     )
 
 
-def heavy_keys(counts: DataFrame, count: str, floor: int) -> DataFrame:
-    """The heaviest rows of a one-row-per-key count table, ``MAX_HEAVY_KEYS`` at most.
-
-    The bound makes the result safe to broadcast whatever the data size; keys
-    that are left out take the ordinary path, so results do not depend on it.
-    """
-    return counts.filter(F.col(count) >= floor).orderBy(F.desc(count)).limit(MAX_HEAVY_KEYS)
-
-
 def repeat_rows(df: DataFrame, count: str) -> DataFrame:
     """Each row ``count`` times (at least 1), generated in blocks of bounded size."""
     last_block = F.expr(f"({count} - 1) div {REPEAT_BLOCK}")

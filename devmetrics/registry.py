@@ -603,14 +603,20 @@ queue AS (
 QUEUE_SELECT = "SELECT * EXCLUDE (ts, event_id, status) FROM queue"
 
 
-@query("artifact_queue", f"WITH {QUEUE} {QUEUE_SELECT} ORDER BY ts, delivery_id LIMIT 100")
+@query("artifact_queue", f"WITH {QUEUE} {QUEUE_SELECT}")
 def _(d):
-    return art.artifact_queue(d.workflow_runs, d.artifacts)
+    return art.artifact_queue(d.events, d.artifacts)
 
 
 @query("artifact_queue_all", f"WITH {QUEUE} {QUEUE_SELECT}")
 def _(d):
-    return art.artifact_queue(d.workflow_runs, d.artifacts, batch_size=None)
+    return art.artifact_queue(d.workflow_runs, d.artifacts)
+
+
+# The limit is what this one shows: the oldest runs of a batch that a caller asks for.
+@query("artifact_queue_batch", f"WITH {QUEUE} {QUEUE_SELECT} ORDER BY ts, delivery_id LIMIT 100")
+def _(d):
+    return art.artifact_queue(d.workflow_runs, d.artifacts, batch_size=100)
 
 
 @query(

@@ -164,7 +164,7 @@ FAILURE_EVENTS = TableSpec(
 WEBHOOK_REJECTS = TableSpec(
     "webhook_rejects",
     "delivery_id STRING, signature STRING, received TIMESTAMP, event STRING, "
-    "status_code INT, reason STRING",
+    "status_code INT, reason STRING, payload STRING",
     partition_time="received",
     streamed=True,
 )

@@ -15,9 +15,6 @@ SETTINGS = {
     # HotSpot never compiles a method of more than 8000 bytes. Fused stages above
     # that run interpreted and lose to the same operators unfused.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Lists per key stay in the hash table for more than Spark's default of 128
-    # keys before a task sorts its input instead.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
     # A repeated JSON key keeps its last value instead of failing the payload.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

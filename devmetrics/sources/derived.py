@@ -79,27 +79,23 @@ class DerivedEvents:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return df.withColumns({t: F.col(t).cast("timestamp") for t in times})
 
-    def _spread(self, df: DataFrame) -> DataFrame:
-        """Deal out a table that comes in fewer files than there are cores.
-
-        Building JSON is most of the work here, and a small test table is one
-        file with one row group. A table of many files is left alone.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    def _spread(self, df: DataFrame, *keys: str) -> DataFrame:
+        """Deal rows out by a hash of their key: building JSON is most of the work here."""
+        return df.repartition(self.spark.sparkContext.defaultParallelism, *keys)
 
     @cached_property
     def lineitem(self) -> DataFrame:
         return self._spread(
             self._table("lineitem", "l_shipdate").select(
                 "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate"
-            )
-        )
+            ),
+            "l_orderkey", "l_linenumber",
+        )
 
     @cached_property
     def activity(self) -> DataFrame:
         """The driver's event stream."""
-        return self._spread(self._table("events", "ts"))
+        return self._spread(self._table("events", "ts"), "event_id")
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -125,7 +121,7 @@ class DerivedEvents:
             F.col("o_orderdate").alias("d"),
             F.floor("o_totalprice").alias("tp"),
         )
-        return self._spread(orders).join(customers, "ck").join(nations, "nk")
+        return self._spread(orders, "k").join(customers, "ck").join(nations, "nk")
 
     # -- events -----------------------------------------------------------
 

@@ -38,22 +38,21 @@ def write_webhooks(store: TableStore, raw: DataFrame, secret: bytes, batch: str)
 
 def write_messages(store: TableStore, messages: DataFrame, batch: str) -> None:
     """One batch of push envelopes; what cannot be decoded is kept whole as a dead letter."""
-    decoded = ingest.unwrap_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    events = ingest.unwrap_messages(messages).select(
+        "delivery_id",
+        "signature",
+        F.col("received").try_cast("timestamp").alias("received"),
+        "event",
+        F.when(F.col("decoded"), F.col("payload")).otherwise(F.col("message")).alias("payload"),
+        "decoded",
+    )
+    identified = ingest.with_identity(events).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        events = decoded.select(
-            "delivery_id",
-            "signature",
-            F.col("received").try_cast("timestamp").alias("received"),
-            "event",
-            F.when(F.col("decoded"), F.col("payload")).otherwise(F.col("message")).alias("payload"),
-            "decoded",
-        )
-        identified = ingest.with_identity(events)
         usable = F.col("decoded") & F.col("decodable")
         store.write_batch("optimized_events", identified.filter(usable), batch)
         store.write_batch("dead_letters", identified.filter(~usable), batch)
     finally:
-        decoded.unpersist()
+        identified.unpersist()
 
 
 def _start(stream: DataFrame, write, name: str, checkpoint: str, trigger: dict) -> StreamingQuery:

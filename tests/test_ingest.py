@@ -56,12 +56,12 @@ def test_verdicts(spark):
     assert ingest.rejected_webhooks(verdicts).count() == 5
 
 
-def test_oversized_body_is_rejected(spark, monkeypatch):
-    monkeypatch.setattr(ingest, "MAX_PAYLOAD_BYTES", 4)
+def test_only_a_given_limit_rejects_long_bodies(spark):
     raw = webhooks(spark, ("a", sign(b"1234"), b"1234"), ("b", sign(b"12345"), b"12345"))
-    assert rows(ingest.validate_webhooks(raw, SECRET), "delivery_id", "status_code") == [
-        ("a", 201), ("b", 401)
-    ]
+    limited = ingest.validate_webhooks(raw, SECRET, max_bytes=4)
+    assert rows(limited, "delivery_id", "status_code") == [("a", 201), ("b", 401)]
+    assert rows(ingest.rejected_webhooks(limited), "delivery_id", "payload") == [("b", "12345")]
+    assert rows(ingest.validate_webhooks(raw, SECRET), "status_code") == [(201,), (201,)]
 
 
 def test_invalid_utf8_is_replaced(spark):

@@ -176,9 +176,7 @@ def test_job_appends_only_newer_events(spark, store, table):
     assert rows(store.read(table), "pr_id") == [("1",), ("3",)]
 
 
-@pytest.mark.parametrize("limit", [0, 10])
-def test_job_gives_the_same_with_and_without_the_id_filter(spark, store, monkeypatch, limit):
-    monkeypatch.setattr(jobs, "MAX_BROADCAST_IDS", limit)
+def test_job_loads_closed_pull_requests_only(spark, store):
     data = [closed(n, "a", f"c{n}") for n in (1, 2)]
     data += [review(n, w) for n in (1, 2, 3) for w in ("a", "b")] + [comment(1, "c", "t")]
     store.append("optimized_events", events(spark, *data))

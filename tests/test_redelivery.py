@@ -42,11 +42,11 @@ def test_new_checkpoint(spark):
 
 def test_failed_since_checkpoint(spark):
     df = log(spark, (1, 500), (2, 200), (3, 404), (4, 299), (5, 300), (6, 199), (7, None))
-    assert [r.id for r in red.failed_deliveries(df).collect()] == [6, 5, 3, 1]
-    assert [r.id for r in red.failed_deliveries(df, "3").collect()] == [6, 5]
-    assert [r.id for r in red.failed_deliveries(df, "").collect()] == [6, 5, 3, 1]
+    assert [r.id for r in red.failed_deliveries(df).collect()] == [7, 6, 5, 3, 1]
+    assert [r.id for r in red.failed_deliveries(df, "3").collect()] == [7, 6, 5]
+    assert [r.id for r in red.failed_deliveries(df, "").collect()] == [7, 6, 5, 3, 1]
     # A checkpoint that the log no longer holds stops nothing.
-    assert [r.id for r in red.failed_deliveries(df.filter("id <> 4"), "4").collect()] == [6, 5, 3, 1]
+    assert [r.id for r in red.failed_deliveries(df.filter("id <> 4"), "4").collect()] == [7, 6, 5, 3, 1]
 
 
 def test_reconcile(spark):

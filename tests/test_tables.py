@@ -2,7 +2,7 @@ import pytest
 from helpers import event, events, rows, ts
 
 from devmetrics.operators.incremental import incremental_rows, read_watermark
-from devmetrics.plans.skew import heavy_keys, one_row_per_key, repeat_rows
+from devmetrics.plans.skew import one_row_per_key, repeat_rows
 from devmetrics.plans.staging import stage
 from devmetrics.schemas import TABLES
 
@@ -76,11 +76,3 @@ def test_repeat_rows(spark, monkeypatch):
 def test_one_row_per_key(spark):
     df = spark.sql("SELECT IF(id % 3 = 0, NULL, id % 2) k, id v FROM range(12)")
     assert one_row_per_key(df, ["k"]).count() == 3
-
-
-def test_heavy_keys(spark):
-    df = spark.sql("SELECT id k, id n FROM range(3000)")
-    heavy = heavy_keys(df, "n", 100)
-    assert heavy.count() == 1000
-    assert heavy.agg({"n": "min"}).first()[0] == 2000
-    assert heavy_keys(df, "n", 2990).count() == 10
