@@ -49,7 +49,7 @@ SHINGLE = 5
 PERCENT = 80
 
 # A prefix shingle of more nodes than this counts as frequent ...
-HEAVY = 32
+HEAVY = 8
 # ... if it is among so many most frequent ones. They are sent to every task: 2 MB at most.
 HEAVY_TOKENS = 1 << 18
 
