@@ -13,9 +13,26 @@ from devmetrics.schemas import PARTITION_COLUMN
 EPOCH = "2015-01-01 00:00:00 UTC"
 
 
-def watermark(target: DataFrame, time_column: str) -> Column:
-    """Newest ``time_column`` of the target as a scalar subquery, EPOCH if it holds none."""
+def newest_day(target: DataFrame) -> DataFrame:
+    """The rows of the newest day partition; all of them without a partition column.
+
+    The day is a scalar subquery over the partition column alone, so the scan
+    that follows has a partition filter.
+    """
+    if PARTITION_COLUMN not in target.columns:
+        return target
+    return target.filter(F.col(PARTITION_COLUMN) == target.agg(F.max(PARTITION_COLUMN)).scalar())
+
+
+def watermark(target: DataFrame, time_column: str, by_day: bool = False) -> Column:
+    """Newest ``time_column`` of the target as a scalar subquery, EPOCH if it holds none.
+
+    ``by_day`` looks at the newest day partition only, which is right where the
+    partition day is the day of ``time_column``.
+    """
     start = F.lit(EPOCH).cast("timestamp")
+    if by_day:
+        target = newest_day(target)
     return target.agg(F.coalesce(F.max(time_column), start)).scalar()
 
 

@@ -116,6 +116,8 @@ def classify_events(events: DataFrame) -> DataFrame:
 def integration_events(events: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """Feed rows not yet in ``target`` (all of them if there is no target).
 
+    A target without rows starts at 2015, no target at the first event.
+
     The target keeps whole seconds, so its newest second may be only partly
     loaded: events of that one second are checked against the target by
     delivery id, everything later is new by its time alone and needs no join.
@@ -123,7 +125,7 @@ def integration_events(events: DataFrame, target: DataFrame | None = None) -> Da
     if target is None:
         return classify_events(events)
 
-    since = watermark(target, "timestamp_seconds")
+    since = watermark(target, "timestamp_seconds", by_day=True)
     next_second = since + F.expr("INTERVAL 1 SECOND")
     later = on_or_after_day(events, since).filter(F.col("received") >= next_second)
 

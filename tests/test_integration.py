@@ -2,6 +2,7 @@ import pytest
 from helpers import event, events, final_plan, rows, ts
 from pyspark.sql import functions as F
 
+from devmetrics.operators.incremental import watermark
 from devmetrics.operators.integration import EVENT_KINDS, integration_events
 from devmetrics.plans import jobs
 
@@ -191,3 +192,15 @@ def test_received_of_microseconds_after_the_mark(spark, store):
     df = events(spark, event("push", {}, "b", "2024-01-01 00:00:00.000001"))
     assert rows(integration_events(df, store.read("integration_events")), "delivery_id") == [("b",)]
     assert ts("2024-01-01").year == 2024
+
+
+def test_watermark_reads_the_newest_day_only(spark, store):
+    old = [event("push", {"sender": {"login": "a"}}, f"d{i}", received=f"2024-01-0{i} 10:00:00") for i in (1, 2, 3)]
+    store.append("optimized_events", events(spark, *old))
+    store.append("integration_events", integration_events(store.read("optimized_events").filter("delivery_id <> 'd3'")))
+    target = store.read("integration_events")
+    due = integration_events(store.read("optimized_events"), target)
+    assert rows(due, "delivery_id") == [("d3",)]
+    plan = target.select(watermark(target, "timestamp_seconds", by_day=True).alias("w")).limit(1)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in text
