@@ -19,8 +19,9 @@ block is empty and the entry is passed over.
 Skipping between sets: in a long list all entries are first compared with a
 few leaders. Sets that link to a leader take over its component as their
 answer. Only what is still in different components after that is compared
-pair by pair, with the same block bounds. No link between components can be
-missed: each pair is verified, excluded by a bound, or already connected.
+pair by pair, with the same block bounds and the outlines of both sets, which
+bound their difference from below. No link between components can be missed:
+each pair is verified, excluded by a bound, or already connected.
 
 Every candidate is verified over the whole sets of both texts. Shingles and
 sets are compared by 64-bit hashes (sets with their size too).
@@ -274,14 +275,41 @@ def _first_round(percent: int):
     return run
 
 
+def _outlines(size: int):
+    """The outline of each set: one bit per hash value, set if an odd number of shingles has it.
+
+    Two sets differ in at least as many shingles as their outlines in bits.
+    """
+    names = ["n", "nid", *_OUTLINE]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in batches:
+            for a, b in _slices(table.column(2)):
+                part = table.slice(a, b - a)
+                sets = Sets(part.column(2), size)
+                place = (sets.token % np.uint64(64 * len(_OUTLINE))).astype(np.int64)
+                odd = np.zeros((b - a) * 64 * len(_OUTLINE), np.uint8)
+                at, times = np.unique(sets.text * 64 * len(_OUTLINE) + place, return_counts=True)
+                odd[at] = times & 1
+                words = np.packbits(odd.reshape(b - a, -1), axis=1).view(np.int64)
+                columns = [pa.array(np.ascontiguousarray(words[:, k])) for k in range(len(_OUTLINE))]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=names)
+
+    return run
+
+
+_OUTLINE = [f"b{k}" for k in range(8)]
+
+
 def _second_round(percent: int):
-    """Candidates between different components of long lists; in: token, n, pos, nid, component."""
+    """Candidates between different components of long lists; in: token, n, pos, nid, component, outline."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, n, pos, nid, part in _lists(batches):
+        for token, n, pos, nid, part, *outline in _lists(batches):
             n, pos = n.astype(np.int64), pos.astype(np.int64)
+            drawn = np.stack(outline, axis=1).view(np.uint64)
             for s, k in zip(*_bounds(token)):
-                size, place, who, group = (x[s : s + k] for x in (n, pos, nid, part))
+                size, place, who, group, shape = (x[s : s + k] for x in (n, pos, nid, part, drawn))
                 names, members = np.unique(group, return_counts=True)
                 if len(names) == 1:
                     continue
@@ -302,8 +330,11 @@ def _second_round(percent: int):
                     i = np.full(len(j), v)
                     fresh = (group[j] == main) | (j < v)
                     ok = fresh & (group[j] != group[v]) & _allowed(size[i], place[i], size[j], place[j], percent)
-                    if ok.any():
-                        yield _edge_rows(token, size, who, i[ok], j[ok])
+                    i, j = i[ok], j[ok]
+                    apart = np.bitwise_count(shape[j] ^ shape[v]).sum(axis=1)
+                    near = apart <= size[i] + size[j] - 2 * least_overlap(size[i], size[j], percent)
+                    if near.any():
+                        yield _edge_rows(token, size, who, i[near], j[near])
 
     return run
 
@@ -449,7 +480,12 @@ def links(
         "token", "n", "pos", "nid", F.xxhash64(F.coalesce("component", "node")).alias("part")
     )
     split = labelled.groupBy("token").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a <> b")
-    rest = labelled.join(split.select("token"), "token").repartition("token").sortWithinPartitions("token", "n", "nid")
+    outlines = bodies.select("n", "nid", "text").mapInArrow(
+        _outlines(shingle), "n int, nid bigint, " + ", ".join(f"{b} bigint" for b in _OUTLINE)
+    )
+    rest = labelled.join(split.select("token"), "token").join(outlines, ["n", "nid"])
+    rest = rest.select("token", "n", "pos", "nid", "part", *_OUTLINE)
+    rest = rest.repartition("token").sortWithinPartitions("token", "n", "nid")
     more = rest.mapInArrow(_second_round(percent), _EDGE_DDL).select("n", "nid", "n2", "nid2").distinct()
     more = work.write(more.join(pairs, ["n", "nid", "n2", "nid2"], "left_anti"), "more")
     if not more.isEmpty():
