@@ -16,8 +16,9 @@ Before that shuffle each portion of a task drops the windows that an earlier
 document of the same portion has; they are decided. So a passage that a third
 of all documents share travels once per portion, not once per document.
 
-Words and windows are compared by 64-bit hashes of short and 32-bit hashes of
-long windows together. Defined cases: a null text has no words. A null id ranks
+Long windows are compared by their own 64-bit hashes, and only below one short
+window, of which 32 bits decide where they meet. Rows with equal or null ids
+are told apart by a 64-bit hash of the text. Defined cases: a null text has no words. A null id ranks
 after every other; equal ids never remove from each other. Equal rows get equal
 results. Very long texts are read whole. An empty table gives an empty result.
 Only the named columns are read.
@@ -41,9 +42,11 @@ WINDOW = 13
 PORTION = 1 << 20
 
 _NO_ID = np.iinfo(np.int64).max
-# ``place`` holds a tag of the text, which long windows, and the word: tag << 40 | bits << 32 | word.
-_HITS = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("long", pa.binary())])
-_FOUND = pa.schema([("doc", pa.int64()), ("place", pa.int64())])
+# ``place`` holds which long windows, and the word: bits << 32 | word. ``tag`` is a hash of the text.
+_HITS = pa.schema(
+    [("h", pa.int32()), ("doc", pa.int64()), ("tag", pa.int64()), ("place", pa.int64()), ("long", pa.binary())]
+)
+_FOUND = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("place", pa.int64())])
 _WORD, _BITS = (1 << 32) - 1, 0xFF << 32
 
 
@@ -102,19 +105,21 @@ def _hits(batch: Batch, a: int, b: int, ids: np.ndarray, tags: np.ndarray, windo
         k = at - starts[pick]
         mask = np.add.reduceat(np.left_shift(1, k), group)
         t, at = t[group], at[group]
-        place = tags[a:b][t].astype(np.int64) << 40 | mask << 32 | (at - first[t])
+        place = mask << 32 | (at - first[t])
         if decided:
-            h = (ids[a:b][t].astype(np.uint64) + at.astype(np.uint64)).astype(np.int64)
+            h = (ids[a:b][t].astype(np.uint64) + at.astype(np.uint64)).astype(np.int32)
             blob = pa.nulls(len(group), pa.binary())
         else:
-            h = short[at].astype(np.int64)
-            ends = np.append(group, len(pick)).astype(np.int32) * 4
-            data = long[pick].astype(np.uint32)
+            h = short[at].astype(np.int32)
+            ends = np.append(group, len(pick)).astype(np.int32) * 8
+            data = long[pick]
             blob = pa.Array.from_buffers(
                 pa.binary(), len(group), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]
             )
         out.append(
-            pa.RecordBatch.from_arrays([pa.array(h), pa.array(ids[a:b][t]), pa.array(place), blob], schema=_HITS)
+            pa.RecordBatch.from_arrays(
+                [pa.array(h), pa.array(ids[a:b][t]), pa.array(tags[a:b][t]), pa.array(place), blob], schema=_HITS
+            )
         )
     return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
 
@@ -144,8 +149,8 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Long windows that a smaller id has; in: hits in order of short window and id."""
     seen: dict[str, np.ndarray] | None = None
     for table in batches:
-        h, doc, place = (table.column(i).to_numpy() for i in range(3))
-        blobs = table.column(3)
+        h, doc, tag, place = (table.column(i).to_numpy() for i in range(4))
+        blobs = table.column(4)
         undecided = blobs.is_valid().to_numpy(zero_copy_only=False)
         bits = (place & _BITS) >> 32
         mask = np.where(undecided, bits, 0)
@@ -153,7 +158,7 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         joined = pa.concat_arrays([blobs.drop_null()])
         offsets = np.frombuffer(joined.buffers()[1], np.int32)[joined.offset : joined.offset + len(joined) + 1]
         data = joined.buffers()[2]
-        values = np.frombuffer(data, np.uint32)[offsets[0] // 4 : offsets[-1] // 4] if data and len(joined) else np.empty(0, np.uint32)
+        values = np.frombuffer(data, np.uint64)[offsets[0] // 8 : offsets[-1] // 8] if data and len(joined) else np.empty(0, np.uint64)
         n_seen = 0
         kh, kk, kv, kd = h[row], k, values, doc[row]
         if seen is not None and len(h) and seen["h"][0] == h[0]:
@@ -175,12 +180,12 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gone = np.where(undecided, gone, bits)
         pick = np.flatnonzero(gone)
         left = (place[pick] & ~_BITS) | gone[pick] << 32
-        yield pa.RecordBatch.from_arrays([pa.array(doc[pick]), pa.array(left)], schema=_FOUND)
+        yield pa.RecordBatch.from_arrays([pa.array(doc[pick]), pa.array(tag[pick]), pa.array(left)], schema=_FOUND)
 
 
 def _tag():
-    """22 bits of the text, to tell rows with equal ids apart."""
-    return F.xxhash64("text").bitwiseAND(F.lit(0x3FFFFF)).cast("int")
+    """A hash of the text, to tell rows with equal ids apart."""
+    return F.xxhash64("text")
 
 
 def _kept(window: int):
@@ -216,14 +221,12 @@ def without_repeats(
     importable(docs.sparkSession)
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     hits = texts.select("doc_id", _tag().alias("tag"), "text").mapInArrow(
-        _short_windows(window), "h bigint, doc bigint, place bigint, long binary"
+        _short_windows(window), "h int, doc bigint, tag bigint, place bigint, long binary"
     )
     found = hits.repartition("h").sortWithinPartitions("h", "doc").mapInArrow(
-        _extended, "doc bigint, place bigint"
-    )
-    per_doc = found.groupBy("doc", F.shiftright("place", 40).cast("int").alias("tag")).agg(
-        F.collect_list("place").alias("found")
+        _extended, "doc bigint, tag bigint, place bigint"
     )
+    per_doc = found.groupBy("doc", "tag").agg(F.collect_list("place").alias("found"))
     keyed = texts.select(
         "doc_id", "text", F.coalesce("doc_id", F.lit(int(_NO_ID))).alias("doc"), _tag().alias("tag")
     )

@@ -2,8 +2,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from devmetrics.llm import substrings
+from devmetrics.llm.wordhash import Batch, runs
 from tests.llm.conftest import prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -51,3 +54,27 @@ def test_shared_passages(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     for window in (13, 6):
         assert result(substrings.without_repeats(docs, window)) == brute(rows, window)
+
+
+def test_windows_that_share_an_anchor_and_32_bits(spark):
+    """A hot passage with another word behind it in each document: 32 bits of the windows do collide."""
+    texts = [" ".join(prose(1, 12) + [f"w{i}"]) for i in range(300_000)]
+    batch = Batch(pa.array(texts), lower=False)
+    long, text = runs(batch.hash, batch.first, 13)
+    low = long[text >= 0].astype(np.uint32)
+    order = np.argsort(low, kind="stable")
+    same = np.flatnonzero(low[order][1:] == low[order][:-1])
+    assert len(same)
+    rows = [(2 * k + n, texts[order[i + n]]) for k, i in enumerate(same) for n in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert result(substrings.without_repeats(docs)) == brute(rows)
+
+
+def test_null_ids_whose_texts_share_22_bits(spark):
+    shared, other = " ".join(prose(1, 13)), " ".join(prose(2, 13))
+    a = spark.range(6000).select(F.format_string(f"{shared} a%s", "id").alias("a"))
+    b = spark.range(6000).select(F.format_string(f"{other} b%s", "id").alias("b"))
+    pair = a.join(b, F.xxhash64("a").bitwiseAND(F.lit(0x3FFFFF)) == F.xxhash64("b").bitwiseAND(F.lit(0x3FFFFF))).first()
+    rows = [(1, shared), (None, pair["a"]), (None, pair["b"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert result(substrings.without_repeats(docs)) == brute(rows)
