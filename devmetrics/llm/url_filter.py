@@ -9,8 +9,10 @@ A host is blocked when its distrust is above ``threshold`` times its trust plus
 distrust; one that neither reaches is allowed.
 
 Links are host pairs that differ, counted once per page. Both walks are joins
-and grouped sums over the host edges, repeated until the largest change of any
-score is below ``tolerance``; nothing but that number reaches the driver.
+and grouped sums over the host edges, repeated until a step reaches no new
+host and changes no score by more than ``tolerance`` times itself. So it does
+not matter how large the corpus is or what other hosts do. The number of steps
+has no limit of its own; nothing but the largest change reaches the driver.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, fits
 no rule and is allowed. Null or empty html has no links. Repeated rows are
@@ -21,6 +23,7 @@ read, so extra ones cannot clash.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +33,6 @@ from devmetrics.llm.staging import Workspace
 
 DAMPING = 0.85
 TOLERANCE = 1e-6
-MAX_STEPS = 50
 THRESHOLD = 0.5
 
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
@@ -116,12 +118,15 @@ def page_rank(
     name: str,
     damping: float = DAMPING,
     tolerance: float = TOLERANCE,
-    max_steps: int = MAX_STEPS,
+    max_steps: int | None = None,
 ) -> DataFrame:
     """(host, score) of a walk along ``edges`` that restarts in ``seeds`` (host, mass).
 
     Mass at hosts without links goes back to the seeds as a whole, so scores
-    keep their proportions. Hosts that the walk does not reach have no row.
+    keep their proportions. Hosts that the walk does not reach have no row. A
+    host reached for the first time counts as changed by all of its score. The
+    walk ends by itself, since what moves shrinks by ``damping`` each step;
+    ``max_steps`` ends it earlier.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     share = work.write(
@@ -130,7 +135,7 @@ def page_rank(
     )
     base = seeds.select("host", ((1 - damping) * F.col("mass")).alias("score"))
     score = work.write(base, f"{name}-0")
-    for step in range(1, max_steps + 1):
+    for step in count(1) if max_steps is None else range(1, max_steps + 1):
         moved = share.join(score, share.src == score.host).select(
             F.col("dst").alias("host"), (damping * F.col("share") * F.col("score")).alias("score")
         )
@@ -138,7 +143,7 @@ def page_rank(
         new = work.write(new, f"{name}-{step}")
         old = score.select("host", F.col("score").alias("old"))
         change = new.join(old, "host", "left").agg(
-            F.max(F.abs(F.col("score") - F.coalesce("old", F.lit(0.0))))
+            F.max(F.try_divide(F.abs(F.col("score") - F.coalesce("old", F.lit(0.0))), F.col("score")))
         )
         largest = change.first()[0] or 0.0
         work.drop(f"{name}-{step - 1}")

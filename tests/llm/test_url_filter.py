@@ -66,3 +66,21 @@ def test_trust_and_distrust_spread(spark):
     assert got["ok.net"]["verdict"] == got["good.net"]["verdict"] == got["plain.net"]["verdict"] == "allow"
     assert got["shady.net"]["verdict"] == "block"
     assert url_filter.url_verdicts(df.limit(0)).count() == 0
+
+
+def test_many_small_hosts_are_judged_as_in_a_small_table(spark):
+    """The registered query's own tolerance, on small scores some links from a seed."""
+    far = 5
+    links = [("shady.net", "evil.example.org"), ("behind.net", "shady.net")]
+    links += [("far1.net", "evil.example.org")] + [(f"far{i}.net", f"far{i - 1}.net") for i in range(2, far + 1)]
+    pages = [(i, f"http://{a}/", f'<a href="http://{b}/">') for i, (a, b) in enumerate(links)]
+    pages += [(900, "http://evil.example.org/es/1", "")]
+    schema = "page_id bigint, url string, html string"
+    small = spark.createDataFrame(pages, schema)
+    many = spark.range(1000, 400_000).selectExpr("id AS page_id", "concat('http://h', id, '.org/') AS url", "'' AS html")
+    distrust = walk({(b, a): 1 for a, b in links}, {"evil.example.org": 1 / 399_001})
+    for pages, scale in ((small, 399_001), (small.unionByName(many), 1)):
+        got = {r["host"]: r for r in url_filter.url_verdicts(pages).filter("page_id < 1000").collect()}
+        for host in distrust:
+            assert got[host]["verdict"] == "block"
+            assert abs(got[host]["distrust"] - scale * distrust[host]) < 1e-4 * scale * distrust[host]
