@@ -12,7 +12,9 @@ A surrogate is a function of key, entity and attempt number. Two entities may
 draw the same one, or one that is itself an entity of the corpus. So distinct
 entities claim their surrogates in rounds: a claim on a taken one, or on a real
 value, fails; of several claims on one the smallest keyed hash wins; losers try
-the next attempt. Practically all succeed at once. The documents are then
+the next attempt. From attempt ``WIDEN`` on surrogates get longer than their
+format, so a format without free values ends no run. Practically all succeed at
+once. An account counts only with valid check digits; else it is prose. The documents are then
 rewritten by expression, with attempt number 0 except for those few entities
 that a small table lists; no text is shuffled unless that table is large.
 
@@ -23,6 +25,8 @@ Other columns pass through untouched, whatever their names.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +35,8 @@ from devmetrics.llm.staging import Workspace
 
 KEY = b"devmetrics surrogate key"
 
-# Attempts after which a kind counts as exhausted: its format has no free value left.
-MOST_ATTEMPTS = 200
+# The attempt from which surrogates are longer than their format, which may have no free value left.
+WIDEN = 20
 
 # Given names that are recognised, and those that stand in for them: no name is in both.
 NAMES = {
@@ -77,7 +81,7 @@ FAMILY = rf"(?<= )(?=\p{{Lu}}\p{{Ll}})(?<=(?:{_GIVEN}|(?:{_TITLE})\.?) )\p{{Lu}}
 PATTERNS = {
     "email": EMAIL, "iban": IBAN, "ssn": SSN, "ip": IP, "phone": PHONE, "card": CARD, "given": GIVEN, "family": FAMILY,
 }
-ANY = "|".join(PATTERNS.values())
+NO_IBAN = "|".join(p for kind, p in PATTERNS.items() if kind != "iban")
 
 DIGITS = ("ssn", "phone", "card")
 
@@ -146,23 +150,60 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), lambda s, i: (s + weighed(i)) % 10)
 
 
-def _card(value: Column, stream: Column) -> Column:
-    body = F.concat(_at(value, F.lit(1)), F.substr(stream, F.lit(1), F.length(value) - 2))
+def _wider(stream: Column, attempt: Column) -> Column:
+    """What a surrogate gets besides its format: 8 to 24 digits."""
+    return F.when(attempt >= WIDEN, F.substr(stream, F.lit(33), F.least(attempt - WIDEN + 8, F.lit(24)))).otherwise("")
+
+
+def _card(value: Column, stream: Column, wider: Column) -> Column:
+    body = F.concat(_at(value, F.lit(1)), F.substr(stream, F.lit(1), F.length(value) - 2), wider)
     check = ((10 - luhn(F.concat(body, F.lit("0")))) % 10).cast("string")
     return F.when(luhn(value) == 0, F.concat(body, check)).otherwise(
         F.concat(body, ((check.cast("int") + 1 + F.substring(stream, 40, 1).cast("int") % 9) % 10).cast("string"))
     )
 
 
-def _iban(value: Column, stream: Column) -> Column:
-    body = _chars(F.substring(value, 5, 40), lambda c, i: F.when(c.rlike("[0-9]"), _at(stream, i)).otherwise(c))
-    country = F.substring(value, 1, 2)
-    moved = F.concat(body, country, F.lit("00"))
+def _mod97(moved: Column) -> Column:
     numeric = _chars(moved, lambda c, i: F.when(c.rlike("[0-9]"), c).otherwise((F.ascii(c) - 55).cast("string")))
-    check = F.lpad((98 - _remainder(numeric, 97)).cast("string"), 2, "0")
+    return _remainder(numeric, 97)
+
+
+def _iban(value: Column, hexes: Column, stream: Column, wider: Column) -> Column:
+    drawn = _chars(
+        F.substring(value, 5, 40),
+        lambda c, i: F.when(c.rlike("[0-9]"), _at(stream, i)).otherwise(F.upper(_letter(hexes, i))),
+    )
+    body, country = F.concat(drawn, wider), F.substring(value, 1, 2)
+    check = F.lpad((98 - _mod97(F.concat(body, country, F.lit("00")))).cast("string"), 2, "0")
     return F.concat(country, check, body)
 
 
+def _accounts(text: Column) -> Column:
+    """The bank accounts of a text as written: at each possible start the longest with valid check digits."""
+
+    def valid(m, end):
+        bare = F.regexp_replace(F.substr(m, F.lit(1), end), " ", "")
+        return _mod97(F.concat(F.substring(bare, 5, 40), F.substring(bare, 1, 4))) == 1
+
+    def longest(m):
+        ends = F.filter(
+            F.sequence(F.length(m), F.lit(15), F.lit(-1)),
+            lambda i: ((i == F.length(m)) | (_at(m, i + 1) == " ")) & valid(m, i),
+        )
+        return F.substr(m, F.lit(1), F.get(ends, F.lit(0)))
+
+    starts = F.regexp_extract_all(text, F.lit(f"(?=({IBAN}))"), 1)
+    return F.filter(F.transform(F.array_distinct(starts), longest), lambda m: m.isNotNull())
+
+
+def _pattern(text: Column) -> Column:
+    """The pattern of all entities of a text; of accounts it has those that are valid, the longer first."""
+    any_of = F.array_join(F.sort_array(_accounts(text), asc=False), "|")
+    rest = NO_IBAN.removeprefix(EMAIL)
+    full = F.concat(F.lit(rf"{EMAIL}|(?<!\w)(?:"), any_of, F.lit(rf")(?!\w){rest}"))
+    return F.when(any_of != "", full).otherwise(F.lit(NO_IBAN))
+
+
 def _letter(hexes: Column, i: Column) -> Column:
     return F.chr(97 + F.conv(_at(hexes, (i * 2 - 1) % 62 + 1, 2), 16, 10).cast("int") % 26)
 
@@ -175,22 +216,25 @@ def _email(value: Column, hexes: Column, of: Column, attempt: Column) -> Column:
         lambda c, i: F.when(c.rlike("[0-9]"), _at(stream, (i - 1) % 64 + 1)).when(c.rlike("[a-z]"), _letter(hexes, i)).otherwise(c),
     )
     # A short address has few surrogates of its own form: later attempts grow.
-    longer = F.when(attempt > 3, F.concat(F.lit("."), F.substring(stream, 50, 8))).otherwise("")
+    longer = F.when(attempt > 3, F.concat(F.lit("."), F.substring(stream, 50, 8), _wider(stream, attempt))).otherwise("")
     host = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: _letter(of, i)), "")
     end = F.regexp_extract(domain, r"\.(com|net|org)$", 1)
     return F.concat(shaped, longer, F.lit("@"), host, F.lit(".example."), F.when(end == "", "com").otherwise(end))
 
 
-def _ip(hexes: Column) -> Column:
-    """An address of the reserved range 240.0.0.0 to 253.255.255.255."""
+def _ip(hexes: Column, wider: Column) -> Column:
+    """An address of the reserved range 240.0.0.0 to 253.255.255.255, with a fifth number if wider."""
     parts = [240 + _number(hexes, 1, 4) % 14, *(_number(hexes, k, 2) for k in (5, 7, 9))]
-    return F.concat_ws(".", *(p.cast("string") for p in parts))
+    return F.concat_ws(".", *(p.cast("string") for p in parts), F.nullif(wider, F.lit("")))
 
 
 def _given(kind: str, hexes: Column, attempt: Column) -> Column:
     pool = F.array(*(F.lit(n.lower()) for n in NAMES[kind][1].split()))
     size = len(NAMES[kind][1].split())
-    return F.get(pool, ((_number(hexes, 1, 6) + attempt) % size).cast("int"))
+    # Behind the whole list each round has an ending of its own.
+    rounds = F.floor(attempt / size)
+    ending = F.when(rounds > 0, F.translate(rounds.cast("string"), "0123456789", "aeiounrlst")).otherwise("")
+    return F.concat(F.get(pool, ((_number(hexes, 1, 6) + attempt) % size).cast("int")), ending)
 
 
 def _family(hexes: Column, attempt: Column, syllables: str, end: str) -> Column:
@@ -227,13 +271,14 @@ def _surrogates(items: Column, fields: list[str], key: bytes) -> Column:
     def one(x):
         kind, value, hexes, stream, attempt = (x[f] for f in ("kind", "value", "hexes", "stream", "attempt"))
         phone = F.when(value.startswith("+"), F.substring(value, 1, 2)).otherwise("")
+        wider = _wider(stream, attempt)
         out = (
             F.when(kind == "email", _email(value, hexes, x["domain"], attempt))
-            .when(kind == "ip", _ip(hexes))
-            .when(kind == "ssn", F.concat(F.lit("9"), F.substring(stream, 1, 8)))
-            .when(kind == "phone", F.concat(phone, F.substr(stream, F.lit(1), F.length(value) - F.length(phone))))
-            .when(kind == "card", _card(value, stream))
-            .when(kind == "iban", _iban(value, stream))
+            .when(kind == "ip", _ip(hexes, wider))
+            .when(kind == "ssn", F.concat(F.lit("9"), F.substring(stream, 1, 8), wider))
+            .when(kind == "phone", F.concat(phone, F.substr(stream, F.lit(1), F.length(value) - F.length(phone)), wider))
+            .when(kind == "card", _card(value, stream, wider))
+            .when(kind == "iban", _iban(value, hexes, stream, wider))
         )
         for name in NAMES:
             out = out.when(kind == name, _given(name, hexes, attempt))
@@ -263,7 +308,7 @@ def rendered(mention: Column, kind: Column, canonical: Column) -> Column:
         )
 
     start = F.struct(F.lit("").alias("text"), F.regexp_replace(canonical, r"\+", "").alias("left"))
-    poured = F.aggregate(F.sequence(F.lit(1), F.length(mention)), start, pour, lambda acc: acc["text"])
+    poured = F.aggregate(F.sequence(F.lit(1), F.length(mention)), start, pour, lambda acc: F.concat(acc["text"], acc["left"]))
     upper = (F.upper(mention) == mention) & (F.length(mention) > 1)
     ending = F.when((kind == "family_cyrillic") & mention.endswith("а"), "а").otherwise("")
     name = F.concat(F.initcap(canonical), ending)
@@ -276,7 +321,7 @@ def rendered(mention: Column, kind: Column, canonical: Column) -> Column:
 
 
 def _found(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(ANY), 0)
+    return F.regexp_extract_all(text, _pattern(text), 0)
 
 
 def _named(found: Column) -> Column:
@@ -299,7 +344,7 @@ def attempts(known: DataFrame, work: Workspace, key: bytes = KEY) -> DataFrame:
     pending = known.withColumn("attempt", F.lit(0))
     taken = known.filter(~F.col("kind").isin(*names)).select("kind", F.col("value").alias("surrogate"))
     later = None
-    for step in range(MOST_ATTEMPTS):
+    for step in count():
         made = surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key)
         claims = pending.withColumn("surrogate", made).filter(F.col("surrogate") != F.col("value"))
         claims = claims.join(taken, ["kind", "surrogate"], "left_anti")
@@ -316,7 +361,6 @@ def attempts(known: DataFrame, work: Workspace, key: bytes = KEY) -> DataFrame:
         pending = work.write(lost.withColumn("attempt", F.col("attempt") + 1), f"lost{step}")
         if pending.isEmpty():
             return work.write(later, "later")
-    raise ValueError("a kind of entity has more members than its format has values")
 
 
 def pseudonymised(
@@ -352,7 +396,7 @@ def pseudonymised(
     )
     items = _surrogates(items, fields, key)
     replaced = F.transform(items, lambda x: rendered(x["mention"], x["kind"], x["surrogate"]))
-    between = F.split("__text", ANY, -1)
+    between = F.split("__text", _pattern(F.col("__text")), -1)
     new = F.zip_with(between, replaced, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
     changed = F.when(F.size("__found") > 0, F.array_join(new, "")).otherwise(F.col("__text"))
     columns = [changed.alias(c) if c == text else F.col("__row")[c].alias(c) for c in docs.columns]

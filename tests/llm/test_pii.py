@@ -72,3 +72,25 @@ def test_keys_matter_and_clean_texts_stay(spark, odd, nothing):
 def test_mentions_are_counted(spark):
     docs = spark.createDataFrame([(1, "a@b.com, 10.2.3.4 " * 3)], "doc_id bigint, text string")
     assert pii.pseudonymised(docs, mentions="n").select(F.sum("n")).first()[0] == 6
+
+
+def test_prose_is_no_bank_account(spark):
+    prose = ["FY20 PLAN WILL GROW", "FY21 PLAN WILL GROW"]
+    real = "BE68 5390 0754 7034"
+    *same, mixed, behind = rewritten(spark, *prose, f"pay {real} THIS WEEK", f"FY20 PLAN WILL {real}")
+    assert same == prose
+    assert mixed.endswith(" THIS WEEK") and mixed.startswith("pay BE") and real not in mixed
+    assert behind == f"FY20 PLAN WILL {mixed[4:-10]}"
+
+
+def test_formats_without_free_values_widen(spark):
+    """Surrogates stay valid, and get longer from some attempt on."""
+    rows = [("iban", "BE68539007547034", n) for n in (0, 30)] + [("card", "4111111111111111", n) for n in (0, 30)]
+    rows += [("ssn", "123456789", 30), ("ip", "1.2.3.4", 30), ("female", "anna", 30), ("phone", "+12025550100", 30)]
+    df = spark.createDataFrame(rows, "kind string, value string, attempt int")
+    made = [r[0] for r in df.coalesce(1).select(pii.surrogate(F.col("kind"), F.col("value"), F.col("attempt"))).collect()]
+    assert len(made[0]) == 16 < len(made[1]) and len(made[2]) == 16 < len(made[3])
+    for iban in made[:2]:
+        assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    assert luhn(made[2]) == luhn(made[3]) == 0 and len(made[4]) > 9 and made[5].count(".") == 4
+    assert made[6] not in [n.lower() for n in pii.NAMES["female"][1].split()] and len(made[7]) > 12
