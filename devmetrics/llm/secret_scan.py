@@ -13,7 +13,7 @@ it is DataFrame work on the JVM, the forest included.
 
 Defined cases: null and empty texts have no candidates. A null path or a missing
 neighbour is the word ``<none>``. Equal candidates in one text are separate
-rows, told apart by position. With labels of one kind only, that is the verdict
+rows, told apart by position (word) and run (within the word). With labels of one kind only, that is the verdict
 for all; without labels every candidate counts as a secret. An empty table
 gives an empty result. Only the named columns are read.
 """
@@ -37,16 +37,18 @@ CUES = r"(?i)^\W*(token|secret|password|passwd|apikey|api_key|key|credential)\W*
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """doc_id, position, candidate, path and the neighbouring words; one row per candidate."""
+    """doc_id, position, run, candidate, path and the neighbouring words; one row per candidate."""
     df = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(path).cast("string").alias("path"), words(F.col(text)).alias("w")
     )
+    pattern = F.lit(f"({KEY_LIKE}{{{MIN_LENGTH},}})")
     found = F.filter(
-        F.transform("w", lambda x, i: F.struct(F.regexp_extract(x, f"({KEY_LIKE}{{{MIN_LENGTH},}})", 1).alias("c"), i.alias("i"))),
-        lambda x: x["c"] != "",
+        F.transform("w", lambda x, i: F.struct(F.regexp_extract_all(x, pattern, 1).alias("cs"), i.alias("i"))),
+        lambda x: F.size(x["cs"]) > 0,
     )
     long = F.exists("w", lambda x: F.length(x) >= MIN_LENGTH)
     df = df.select("doc_id", "path", "w", F.explode(F.when(long, found)).alias("x"))
+    df = df.select("doc_id", "path", "w", "x", F.posexplode("x.cs").alias("run", "c"))
     i = F.col("x.i")
 
     def near(at: Column) -> Column:
@@ -55,7 +57,8 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
     return df.select(
         "doc_id",
         i.alias("position"),
-        F.col("x.c").alias("candidate"),
+        "run",
+        F.col("c").alias("candidate"),
         F.coalesce("path", F.lit("<none>")).alias("path"),
         near(i - 1).alias("left"),
         near(i - 2).alias("left2"),
@@ -139,7 +142,7 @@ def trained(findings: DataFrame):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import FeatureHasher, VectorAssembler
 
-    order = F.xxhash64("candidate", "path", "left", "right", "position", "doc_id")
+    order = F.xxhash64("candidate", "path", "left", "right", "position", "run", "doc_id")
     # Half of the sample for each label, so that rare secrets are learned too.
     picked = None
     for label in (0.0, 1.0):
@@ -178,7 +181,7 @@ def scan(
     text: str = "text",
     path: str = "source",
 ) -> DataFrame:
-    """doc_id, position (word), candidate, probability, is_secret of every candidate.
+    """doc_id, position (word), run (in the word), candidate, probability, is_secret of every candidate.
 
     ``findings`` are labelled candidates: the columns of ``candidates`` and
     ``label`` (1.0 for a secret). Without them ``cue_labels`` labels those of ``docs``.
@@ -191,4 +194,4 @@ def scan(
     labelled = cue_labels(seen) if findings is None else features(findings, counts, pair_table)
     model = trained(labelled)
     work.drop("words", "candidates")
-    return judged(seen, model).select("doc_id", "position", "candidate", "probability", "is_secret")
+    return judged(seen, model).select("doc_id", "position", "run", "candidate", "probability", "is_secret")

@@ -37,3 +37,11 @@ def test_odd_rows(spark, odd, nothing):
     assert out.filter("is_secret").count() == 0
     twice = spark.createDataFrame([(1, "a1b2c3d4e5f6a7b8c9 a1b2c3d4e5f6a7b8c9", None)], "doc_id bigint, text string, source string")
     assert [r["position"] for r in secret_scan.scan(twice).orderBy("position").collect()] == [0, 1]
+
+
+def test_every_run_of_a_word_is_a_candidate(spark):
+    a, b, c = "AKIA0123456789ABCD", "a1b2c3d4e5f6a7b8c9d0", "ZXCVBNMASDFGHJKLQW"
+    text = f'see {{"id":"{a}","secret":"{b}","short":"x1","again":"{b}"}} {c}'
+    docs = spark.createDataFrame([(1, text, None)], "doc_id bigint, text string, source string")
+    got = sorted((r["position"], r["run"], r["candidate"]) for r in secret_scan.scan(docs).collect())
+    assert got == [(1, 0, a), (1, 1, b), (1, 2, b), (2, 0, c)]
