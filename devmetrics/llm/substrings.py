@@ -4,13 +4,12 @@ A window is ``window`` consecutive words of one document. Every word covered by
 a window whose word sequence also starts in a document with a smaller id is
 removed; windows are judged on the input, not on what is left.
 
-The search doubles lengths. The first level looks at short windows of half the
-length, and of those only at one in each long window, the one with the
-smallest hash: equal long windows have it at the same place. Short windows
-that occur once are done. Where one repeats, and only there, the second level
-compares the windows of about twice that length, the full one, around it.
-Both levels meet in one shuffle, since a short window travels with the hashes
-of the long windows it stands for.
+One anchored pass stands in for levels of doubling length. The anchor of a long
+window is one short window in it of half the length, the one with the smallest
+hash: equal long windows have it at the same place. An anchor travels with the
+hashes of all long windows it stands for, whether it repeats or not, and they
+are compared where it lands. Sending only the long windows of repeated anchors
+would take a second trip back to the texts.
 
 Before that shuffle each portion of a task drops the windows that an earlier
 document of the same portion has; they are decided. So a passage that a third
