@@ -7,14 +7,18 @@ measured in words, from one to the other until one of them is integral: which
 way is random, with chances that leave each document's expectation unchanged.
 The words of the source stay the same in every step.
 
-Here documents go into blocks of some ``FANOUT``. In a block the largest
-document is paired with all smaller ones together, then the next, and so on:
-what one large document gains or loses, many small ones balance. So it is the
-smallest document that is left undecided, and a block passes on that one alone.
-The residuals of one level are the documents of the next, in a reduction tree
-with a fan-in of ``FANOUT``; the last one of a source is drawn alone. The taken
-words differ from the target by less than that one small document. Every draw
-is a hash of seed, level and document: reruns agree.
+Here documents go into blocks of some ``FANOUT``. A block is folded from its
+largest document on: the undecided one meets the next smaller one, and the one
+that is still fractional goes on. Neighbours in that order are of similar size,
+so each meeting decides either of them with a fair chance. An undecided document
+over ``FAR`` times as large as the next meets all that are left together, since
+many small ones are needed to balance it. A block passes on the one left over
+and, so that the last meetings are of small documents, its ``HELD`` smallest
+ones untouched. The residuals of one level are the documents of the next, in a
+reduction tree; the last one of a source is drawn alone. The taken words differ
+from the target by less than the size of that one document, which is one of the
+smaller ones of its source, though not always the smallest. Every draw is a hash
+of seed, level and document: reruns agree.
 
 Defined cases: a null or empty text has size 0 and is taken once for each
 whole time of its source, without words. Null is a source of its own. Equal
@@ -32,12 +36,19 @@ from devmetrics.llm.text import word_count
 
 # Documents that one block pairs, about.
 FANOUT = 128
+# An undecided document this many times as large as the next one meets the whole rest.
+FAR = 1.5
+# The smallest documents of a block that it passes on undecided, and the blocks that then join.
+HELD = 8
+JOINED = FANOUT // (HELD + 1)
 # Weights by rank of the source, repeating, and the most a source is repeated.
 WEIGHTS = (1, 2, 3)
 MOST = 3
 
 _ITEM = "struct<doc_id:bigint,fp:bigint,k:bigint,size:bigint,mass:double>"
 _DONE = f"array<struct<item:{_ITEM},taken:boolean>>"
+# Copies of one row that one generator step holds in memory.
+REPEAT_BLOCK = 10_000
 # A fraction this near to 0 or 1 counts as whole.
 _NEAR = 1e-9
 
@@ -93,14 +104,7 @@ def _paired(items: Column, level: int, seed: int) -> Column:
     masses, ``scale * mass + lift * size``, and is kept as such.
     """
     none = F.expr(f"CAST(NULL AS {_ITEM})")
-    start = F.struct(
-        F.aggregate(items, F.lit(0.0), lambda s, x: s + x["size"]).alias("size"),
-        F.aggregate(items, F.lit(0.0), lambda s, x: s + x["mass"]).alias("mass"),
-        F.lit(1.0).alias("scale"),
-        F.lit(0.0).alias("lift"),
-        none.alias("carry"),
-        F.expr(f"CAST(array() AS {_DONE})").alias("done"),
-    )
+    zero, one = F.lit(0.0), F.lit(1.0)
 
     def state(size, mass, scale, lift, carry, done):
         return F.struct(
@@ -111,39 +115,71 @@ def _paired(items: Column, level: int, seed: int) -> Column:
     def item(x, mass):
         return F.struct(x["doc_id"], x["fp"], x["k"], x["size"], mass.alias("mass"))
 
-    def decided(acc, x, taken):
-        return F.concat(acc["done"], F.array(F.struct(item(x, x["mass"]).alias("item"), taken.alias("taken"))))
-
-    def step(acc, x):
+    def decided(x):
+        return F.array(F.struct(x.alias("item"), (x["mass"] > _NEAR).alias("taken")))
+
+    def is_open(x):
+        return (x["mass"] > _NEAR) & (x["mass"] < x["size"] - _NEAR)
+
+    def moved(mass, size, other, room, x, salt):
+        """Mass that goes from (``other``, with ``room`` left) to (``mass`` of ``size``); below 0 the other way."""
+        gain, loss = F.least(size - mass, other), F.least(mass, room)
+        up = _draw(level, seed, x["doc_id"], x["fp"], x["k"], F.lit(salt)) * (gain + loss) < loss
+        return F.when(gain + loss <= _NEAR, zero).when(up, gain).otherwise(-loss)
+
+    def against_pool(acc, x):
+        """The carried document meets all that are left together, if it is much larger than the next."""
+        a, size, mass = acc["carry"], acc["size"], acc["mass"]
+        far = F.coalesce(a["size"] > FAR * x["size"], F.lit(False))
+        step = F.when(far, moved(a["mass"], a["size"], mass, size - mass, x, 1)).otherwise(zero)
+        # The pool loses ``step``: its masses shrink, or their distances to full do.
+        shrink = F.when(step > 0, (mass - step) / mass).when(step < 0, (size - mass + step) / (size - mass))
+        shrink = F.coalesce(shrink, one)
+        lift = acc["lift"] * shrink + F.when(step < 0, one - shrink).otherwise(zero)
+        carry = F.when(a.isNotNull(), item(a, a["mass"] + step))
+        return state(size, mass - step, acc["scale"] * shrink, lift, carry, acc["done"])
+
+    def next_one(acc, x):
+        """Takes ``x`` out of the pool; what is carried meets it if still open."""
         full = x["size"].cast("double")
-        own = F.least(full, F.greatest(F.lit(0.0), acc["scale"] * x["mass"] + acc["lift"] * full))
+        own = F.least(full, F.greatest(zero, acc["scale"] * x["mass"] + acc["lift"] * full))
         size = acc["size"] - full
-        mass = F.least(size, F.greatest(F.lit(0.0), acc["mass"] - own))
-        gain, loss = F.least(full - own, mass), F.least(own, size - mass)
-        u = _draw(level, seed, x["doc_id"], x["fp"], x["k"])
-        up = u * (gain + loss) < loss
-        settled = F.when(up, full - own <= mass).otherwise(own <= size - mass)
-        after = F.when(up, mass - gain).otherwise(mass + loss)
-        shrink = F.when(up, after / mass).otherwise((size - after) / (size - mass))
-        lift = acc["lift"] * shrink + F.when(up, 0.0).otherwise(1 - shrink)
-        # The other side ran out first: the document is carried, the pool is all out or all in.
-        out_or_in = F.when(up, 0.0).otherwise(1.0)
-        carried = item(x, F.when(up, own + gain).otherwise(own - loss))
-        nil = F.lit(0.0)
-        return (
-            F.when(
-                acc["carry"].isNotNull(),
-                state(nil, nil, acc["scale"], acc["lift"], acc["carry"], decided(acc, x, acc["lift"] > 0.5)),
-            )
-            .when(gain + loss <= _NEAR, F.when(
-                (own > _NEAR) & (own < full - _NEAR),
-                state(size, mass, nil, F.when(mass > 0, 1.0).otherwise(0.0), item(x, own), acc["done"]),
-            ).otherwise(state(size, mass, acc["scale"], acc["lift"], none, decided(acc, x, own > 0.5 * full))))
-            .when(settled, state(size, after, acc["scale"] * shrink, lift, none, decided(acc, x, up)))
-            .otherwise(state(size, after, nil, out_or_in, carried, acc["done"]))
-        )
+        a = acc["carry"]
+        step = F.when(is_open(a), moved(a["mass"], a["size"], own, full - own, x, 0)).otherwise(zero)
+        mine, theirs = item(a, a["mass"] + step), item(x, own - step)
+        done = F.concat(
+            acc["done"],
+            F.when(a.isNotNull() & ~is_open(mine), decided(mine)).otherwise(F.array().cast(_DONE)),
+            F.when(~is_open(theirs), decided(theirs)).otherwise(F.array().cast(_DONE)),
+        )
+        # A meeting leaves one of the two integral, so they are never both open.
+        carry = F.when(is_open(theirs), theirs).when(a.isNotNull() & is_open(mine), mine)
+        mass = F.least(size, F.greatest(zero, acc["mass"] - own))
+        return state(size, mass, acc["scale"], acc["lift"], carry, done)
+
+    def bound(value, then):
+        """``then`` of a value that is computed once."""
+        return F.get(F.transform(F.array(value), then), F.lit(0))
+
+    start = state(
+        F.aggregate(items, zero, lambda s, x: s + x["size"]),
+        F.aggregate(items, zero, lambda s, x: s + x["mass"]),
+        one, zero, none, F.expr(f"CAST(array() AS {_DONE})"),
+    )
+    return F.aggregate(
+        items,
+        start,
+        lambda acc, x: bound(against_pool(acc, x), lambda met: next_one(met, x)),
+        lambda acc: F.struct(acc["carry"], acc["done"]),
+    )
 
-    return F.aggregate(items, start, step, lambda acc: F.struct(acc["carry"], acc["done"]))
+
+def repeated(df: DataFrame, times: str, k: str) -> DataFrame:
+    """Each row ``times`` times, numbered ``k`` from 1; generated in blocks of bounded size."""
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({times} - 1) div {REPEAT_BLOCK}")))
+    first = F.col("__block") * REPEAT_BLOCK
+    numbers = F.sequence(first + 1, F.least(F.col(times).cast("bigint"), first + REPEAT_BLOCK))
+    return df.withColumn("__block", block).withColumn(k, F.explode(numbers)).drop("__block")
 
 
 def draw_copies(rows: DataFrame, targets: DataFrame, seed: int = 7) -> DataFrame:
@@ -161,7 +197,7 @@ def draw_copies(rows: DataFrame, targets: DataFrame, seed: int = 7) -> DataFrame
     df = rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     df = df.withColumn("rate", rate).withColumn("whole", F.floor(F.col("rate") + _NEAR))
-    df = df.withColumn("k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))))
+    df = repeated(df, "times", "k")
     part = F.col("rate") - F.col("whole")
     keep = ["doc_id", "source", "fp", "k"]
     staged = work.write(
@@ -184,14 +220,20 @@ def draw_copies(rows: DataFrame, targets: DataFrame, seed: int = 7) -> DataFrame
         items = F.transform(
             "items", lambda x: F.struct(x["doc_id"], x["fp"], x["k"], x["size"], x["mass"])
         )
-        folded = grouped.select("source", "block", _paired(items, level, seed).alias("f"))
-        last = F.struct(F.col("f.carry").alias("item"), F.lit(None).cast("boolean").alias("taken"))
-        last = F.when(F.col("f.carry").isNotNull(), F.array(last)).otherwise(F.array()).cast(_DONE)
-        out = folded.select("source", "block", F.explode(F.concat("f.done", last)).alias("x"))
+        # On the last level every document is folded; before it each block keeps its smallest back.
+        folds = F.greatest(F.lit(0), F.size("items") - F.lit(HELD if blocks > 1 else 0))
+        folded = grouped.select("source", "block", items.alias("items"), folds.alias("folds")).select(
+            "source", "block",
+            _paired(F.slice("items", F.lit(1), F.col("folds")), level, seed).alias("f"),
+            F.slice("items", F.col("folds") + 1, F.size("items")).alias("held"),
+        )
+        open_ones = F.filter(F.concat(F.array("f.carry"), "held"), lambda x: x.isNotNull())
+        left = F.transform(open_ones, lambda x: F.struct(x.alias("item"), F.lit(None).cast("boolean").alias("taken")))
+        out = folded.select("source", "block", F.explode(F.concat("f.done", left)).alias("x"))
         out = work.write(out.select("source", "block", "x.item.*", "x.taken"), f"level{level}")
         taken.append(out.filter("taken").select(*keep))
-        pending = out.filter("taken IS NULL").withColumn("block", F.expr(f"block div {FANOUT}"))
-        blocks, level = (0 if blocks == 1 else -(-blocks // FANOUT)), level + 1
+        pending = out.filter("taken IS NULL").withColumn("block", F.expr(f"block div {JOINED}"))
+        blocks, level = (0 if blocks == 1 else -(-blocks // JOINED)), level + 1
     # One document at most is left in a source: it is drawn alone.
     alone = _draw(level, seed, "doc_id", "fp", "k") * F.col("size") < F.col("mass")
     chosen = pending.filter(alone).select(*keep) if taken else pending.select(*keep)
@@ -245,4 +287,4 @@ def mix_rows(docs: DataFrame, seed: int = 7, **columns: str) -> DataFrame:
         F.first(F.struct("*")).alias("__row")
     )
     met = once.join(taken, F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__fp")))
-    return met.select("__row", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select("__row.*")
+    return repeated(met, "__copies", "__k").select("__row.*")

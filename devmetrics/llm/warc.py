@@ -58,7 +58,10 @@ def filesystem(uri: str):
 
 
 def roles(pages: DataFrame, min_bytes: int) -> DataFrame:
-    """Adds ``refers_to`` and ``is_revisit``; in: row, page_id, payload."""
+    """Adds ``is_revisit``, ``refers_to`` and ``refers_row``; in: row, page_id, payload.
+
+    Both sides of the join read ``row``, so it must come from a written table.
+    """
     keyed = pages.select("*", F.unhex(F.sha1("payload")).alias("sha1"), F.length("payload").alias("size"))
     rank = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")
     first = (
@@ -69,8 +72,9 @@ def roles(pages: DataFrame, min_bytes: int) -> DataFrame:
     )
     met = keyed.join(first, "sha1", "left").withColumn("is_revisit", F.coalesce(F.col("first.row") != F.col("row"), F.lit(False)))
     return met.select(
-        "row", "page_id", "url", "payload", "sha1",
-        "is_revisit", F.when(F.col("is_revisit"), F.col("first.page_id")).alias("refers_to"),
+        "row", "page_id", "url", "payload", "sha1", "is_revisit",
+        F.when(F.col("is_revisit"), F.col("first.page_id")).alias("refers_to"),
+        F.when(F.col("is_revisit"), F.col("first.row")).alias("refers_row"),
     )
 
 
@@ -95,17 +99,25 @@ def train_dictionary(pages: DataFrame, dictionary_bytes: int, sample_records: in
     return bytes(sample.limit(sample_records).coalesce(1).mapInArrow(run, "dictionary binary").first()[0])
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, sha1: bytes, revisit: bool, refers_to: int | None) -> bytes:
+def record_id(page_id: int | None, row: int) -> str:
+    """A record's own name: page ids may be null or repeat, the row number does not."""
+    return f"<{RECORD_ID}{'' if page_id is None else page_id}:{row}>"
+
+
+def record(
+    row: int, page_id: int | None, url: str | None, payload: bytes, sha1: bytes,
+    revisit: bool, refers_to: int | None, refers_row: int | None,
+) -> bytes:
     digest = base64.b32encode(sha1).decode()
     body = b"" if revisit else payload
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", f"<{RECORD_ID}{'' if page_id is None else page_id}>"),
+        ("WARC-Record-ID", record_id(page_id, row)),
         ("WARC-Date", DATE),
         *([] if url is None else [("WARC-Target-URI", "".join(" " if c in "\r\n" else c for c in url))]),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("X-Payload-Length", str(len(payload))),
-        *([("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{RECORD_ID}{'' if refers_to is None else refers_to}>")] if revisit else []),
+        *([("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to, refers_row))] if revisit else []),
         ("Content-Type", "application/octet-stream"),
         ("Content-Length", str(len(body))),
     ]
@@ -128,7 +140,7 @@ def parse(data: bytes) -> tuple:
         raise ValueError(f"payload of {fields['WARC-Record-ID']} differs from its digest")
 
     def number(name: str) -> int | None:
-        text = fields.get(name, "").strip("<>").removeprefix(RECORD_ID)
+        text = fields.get(name, "").strip("<>").removeprefix(RECORD_ID).partition(":")[0]
         return int(text) if text else None
 
     return (
@@ -172,11 +184,10 @@ def write_archives(
             buffer, count = io.BytesIO(), 0
 
         for batch in batches:
-            names = ("page_id", "url", "payload", "sha1", "is_revisit", "refers_to")
+            names = ("row", "page_id", "url", "payload", "sha1", "is_revisit", "refers_to", "refers_row")
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
             for values in zip(*columns):
-                page, url, payload, sha1, revisit, refers = (v.as_py() for v in values)
-                buffer.write(compressor.compress(record(page, url, payload, sha1, revisit, refers)))
+                buffer.write(compressor.compress(record(*(v.as_py() for v in values))))
                 count += 1
                 if buffer.tell() >= archive_bytes:
                     close()
@@ -251,14 +262,17 @@ def archive(
     importable(spark)
     work = Workspace(spark)
     folder = folder or work.path("archives")
-    rows = pages.select(
+    numbered = pages.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(page_id).cast("bigint").alias("page_id"),
         F.col(url).cast("string").alias("url"),
         F.encode(F.coalesce(html, F.lit("")), "UTF-8").alias("payload"),
     )
+    # Row numbers are drawn once: computed again over another order they would name other rows.
+    rows = work.write(numbered, "rows")
     dictionary = train_dictionary(rows, dictionary_bytes, sample_records)
     written = work.write(write_archives(roles(rows, min_bytes), folder, dictionary, archive_bytes), "written")
+    work.drop("rows")
     if not written.agg(F.sum("records")).first()[0]:
         return spark.createDataFrame([], READ)
     return read_archives(spark, folder)
