@@ -56,9 +56,11 @@ def _scalar_leaves(tree: dict, node: Column, payload: Column, path: str = "$") -
         if isinstance(child, dict):
             value = F.struct(*_scalar_leaves(child, value, payload, at))
         elif child == "string":
+            # The second parse stands inside a branch: anywhere else Spark lifts it
+            # out as a common subexpression and runs it for every row.
             kind = variant_kind(F.try_parse_json(payload), at)
-            nested = value.rlike(r"^\s*[\[{]") & kind.rlike("^(OBJECT|ARRAY)")
-            value = F.when(~F.coalesce(nested, F.lit(False)), value)
+            scalar = ~F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
+            value = F.when(value.rlike(r"^\s*[\[{]"), F.when(scalar, value)).otherwise(value)
         out.append(value.alias(name))
     return out
 
