@@ -170,3 +170,21 @@ def _secret_scan(spark, sf_dir):
     from devmetrics.llm.secret_scan import scan
 
     return scan(_table(spark, sf_dir, "documents"))
+
+
+@_query("op13_byte_bpe")
+def _byte_bpe(spark, sf_dir):
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from devmetrics.llm.byte_bpe import decode, encode
+
+    vocabulary = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = encode(_table(spark, sf_dir, "documents"), *vocabulary).select("doc_id", "ids", "n_split")
+    return decode(encoded, *vocabulary).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+        "n_split",
+    )
