@@ -188,3 +188,10 @@ def _byte_bpe(spark, sf_dir):
         F.sha2("bytes", 256).alias("decoded_sha256"),
         "n_split",
     )
+
+
+@_query("op11_periodic_runs")
+def _periodic_runs(spark, sf_dir):
+    from devmetrics.llm.periodic import periodic_runs, run_digests, with_planted_runs
+
+    return run_digests(periodic_runs(with_planted_runs(_table(spark, sf_dir, "documents"))))
