@@ -195,3 +195,13 @@ def _periodic_runs(spark, sf_dir):
     from devmetrics.llm.periodic import periodic_runs, run_digests, with_planted_runs
 
     return run_digests(periodic_runs(with_planted_runs(_table(spark, sf_dir, "documents"))))
+
+
+@_query("op12_whitening")
+def _whitening(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from devmetrics.llm.whitening import quantised, whiten
+
+    x = quantised(F.col("embedding"), scale=64, offset=1_000_000)
+    return whiten(_table(spark, sf_dir, "embeddings").select("vec_id", x.alias("x")))
