@@ -11,7 +11,10 @@ Texts are encoded by Arrow batch, in portions of bounded size. A text longer
 than a portion is cut before a single space between two other characters: the
 pattern always starts a match there, so the ids are those of the whole text.
 
-An offset is the span of characters a token comes from. A token that holds only
+An offset is the span of characters a token comes from. It follows from the
+lengths of the tokens before it: these give the token's place in the bytes of the
+text, and a running count of the bytes that begin a character gives the place
+in characters. A token that holds only
 part of a character's bytes gets the whole character, so neighbours may share
 one: ``n_split`` counts the tokens that begin within a character.
 
@@ -37,6 +40,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,32 +107,41 @@ def token_bytes(path: str, pattern: str) -> pa.Array:
     return pa.array(table, pa.large_binary())
 
 
-def pieces(text: str, portion: int) -> Iterator[tuple[int, str]]:
-    """(start, piece) of a text cut to about ``portion`` characters where the pattern cuts it anyway."""
+def pieces(text: str, portion: int) -> Iterator[str]:
+    """A text cut to pieces of about ``portion`` characters where the pattern cuts it anyway."""
     start = 0
     while len(text) - start > portion:
         cut = _CUT.search(text, start + portion)
         if cut is None:
             break
-        yield start, text[start : cut.start()]
+        yield text[start : cut.start()]
         start = cut.start()
-    yield start, text[start:]
+    yield text[start:]
 
 
-def _encoded(tok, doc_ids: pa.Array, texts: list[str], portion: int) -> pa.RecordBatch:
+def character_spans(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) in characters of tokens of so many bytes that lie one behind the other in UTF-8 ``data``."""
+    begins = np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)
+    ends = np.cumsum(lengths)
+    # A token starts in the character of its first byte and ends behind that of its last.
+    return begins[ends - lengths] - 1, begins[ends - 1]
+
+
+def _encoded(tok, lengths_of: np.ndarray, doc_ids: pa.Array, texts: list[str], portion: int) -> pa.RecordBatch:
     """One batch of results for texts that are encoded together."""
-    parts = [(k, *piece) for k, text in enumerate(texts) for piece in pieces(text, portion)]
-    of = [k for k, _, _ in parts]
-    encodings = tok.encode_batch([piece for _, _, piece in parts], add_special_tokens=False)
-    sizes = np.array([len(e) for e in encodings], np.int64)
+    parts = [(k, piece) for k, text in enumerate(texts) for piece in pieces(text, portion)]
+    of = [k for k, _ in parts]
+    encodings = tok.encode_batch_fast([piece for _, piece in parts], add_special_tokens=False)
+    found = [e.ids for e in encodings]
+    sizes = np.array([len(i) for i in found], np.int64)
     total = int(sizes.sum())
-    ids = np.fromiter(chain.from_iterable(e.ids for e in encodings), np.uint32, total)
-    spans = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in encodings)), np.int32, 2 * total)
-    shift = np.repeat(np.array([start for _, start, _ in parts], np.int32), sizes)
-    starts, ends = spans[0::2] + shift, spans[1::2] + shift
+    ids = np.fromiter(chain.from_iterable(found), np.uint32, total)
+    starts, ends = character_spans(np.frombuffer("".join(texts).encode(), np.uint8), lengths_of[ids])
     counts = np.bincount(of, sizes, len(texts)).astype(np.int64) if of else np.zeros(len(texts), np.int64)
     at = np.concatenate([[0], np.cumsum(counts)])
     row = np.repeat(np.arange(len(texts)), counts)
+    shift = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int32)[row]
+    starts, ends = starts - shift, ends - shift
     within = np.zeros(total, bool)
     within[1:] = (starts[1:] < ends[:-1]) & (row[1:] == row[:-1])
     n_split = np.bincount(row[within], minlength=len(texts)).astype(np.int64)
@@ -166,6 +179,7 @@ def encode(
         # Spark runs one task per core; the library must not start threads of its own.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tok = tokenizer(ranks_path, pattern)
+        lengths_of = pc.binary_length(token_bytes(ranks_path, pattern)).to_numpy(zero_copy_only=False)
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1)
             first, held, size = 0, [], 0
@@ -173,10 +187,10 @@ def encode(
                 held.append(texts[k].as_py() or "")
                 size += len(held[-1])
                 if size >= portion:
-                    yield _encoded(tok, doc_ids.slice(first, len(held)), held, portion)
+                    yield _encoded(tok, lengths_of, doc_ids.slice(first, len(held)), held, portion)
                     first, held, size = k + 1, [], 0
             if held:
-                yield _encoded(tok, doc_ids.slice(first, len(held)), held, portion)
+                yield _encoded(tok, lengths_of, doc_ids.slice(first, len(held)), held, portion)
 
     importable(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
