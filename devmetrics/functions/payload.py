@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PARSED = "p"
 _RAW = "_payload"
@@ -38,17 +39,43 @@ def payload_ddl(*paths: str) -> str:
 
     def render(node: dict | str) -> str:
         if isinstance(node, str):
-            return node
+            is_array = node.startswith("array")
+            return _with_variants(T.DataType.fromDDL(node)).simpleString() if is_array else node
         return f"struct<{','.join(f'{name}:{render(child)}' for name, child in node.items())}>"
 
     return ", ".join(f"{name} {render(child)}" for name, child in _tree(*paths).items())
 
 
+def _with_variants(kind: T.DataType) -> T.DataType:
+    """``kind`` with its string leaves as VARIANT, which keeps what they are in the JSON."""
+    if isinstance(kind, T.StringType):
+        return T.VariantType()
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_with_variants(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _with_variants(f.dataType)) for f in kind])
+    return kind
+
+
+def _scalars_of(value: Column, kind: T.DataType) -> Column:
+    """A value of type ``_with_variants(kind)`` as ``kind``; an object or array at a string leaf is NULL."""
+    if isinstance(kind, T.StringType):
+        nested = F.coalesce(F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+        return F.when(~nested, F.try_variant_get(value, "$", "string"))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _scalars_of(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = F.struct(*(_scalars_of(value[f.name], f.dataType).alias(f.name) for f in kind))
+        return F.when(value.isNotNull(), fields)
+    return value
+
+
 def _scalar_leaves(tree: dict, node: Column, payload: Column, path: str = "$") -> list[Column]:
     """The fields of ``node``, a leaf of type STRING NULL where the payload has an object or array.
 
     The parse gives such a leaf as its JSON text. Only a text that opens like
-    one is looked up by type, since it may also be a genuine string.
+    one is looked up by type, since it may also be a genuine string. Inside an
+    array the parse keeps string leaves as VARIANT, which have their type with them.
     """
     out = []
     for name, child in tree.items():
@@ -61,6 +88,8 @@ def _scalar_leaves(tree: dict, node: Column, payload: Column, path: str = "$") -
             kind = variant_kind(F.try_parse_json(payload), at)
             scalar = ~F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
             value = F.when(value.rlike(r"^\s*[\[{]"), F.when(scalar, value)).otherwise(value)
+        elif child.startswith("array"):
+            value = _scalars_of(value, T.DataType.fromDDL(child))
         out.append(value.alias(name))
     return out
 

@@ -148,10 +148,22 @@ def message_attributes(enriched: DataFrame) -> DataFrame:
     return enriched.withColumn("attributes", F.create_map(*pairs))
 
 
-def event_json(events: DataFrame) -> DataFrame:
-    """Each event as one JSON text column ``value``; empty and missing fields are left out."""
-    fields = [F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in events.columns]
-    return events.select(F.to_json(F.struct(*fields)).alias("value"))
+def event_json(
+    events: DataFrame, columns: list[str] | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``keep`` plus ``columns`` (all) of each event as one JSON text ``value``, without empty fields."""
+    names = columns or events.columns
+    fields = [F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in names]
+    return events.select(*keep, F.to_json(F.struct(*fields)).alias("value"))
+
+
+def outgoing_messages(enriched: DataFrame) -> DataFrame:
+    """What the relay publishes for each event: its JSON text and the attributes to route it by."""
+    return event_json(
+        message_attributes(enriched),
+        [*EVENT_COLUMNS, *IDENTITY_COLUMNS],
+        keep=("delivery_id", "received", "attributes"),
+    )
 
 
 def failure_counts(failure_events: DataFrame, limit: int) -> DataFrame:

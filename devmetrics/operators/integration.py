@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from devmetrics.functions.payload import field, parse_payload
 from devmetrics.operators.incremental import on_or_after_day, watermark
 from devmetrics.plans.skew import one_row_per_key
-from devmetrics.schemas import INTEGRATION_EVENTS, PARTITION_COLUMN
+from devmetrics.schemas import BATCH_COLUMN, INTEGRATION_EVENTS, PARTITION_COLUMN
 
 NULL, PRESENT = object(), object()
 
@@ -113,10 +113,12 @@ def classify_events(events: DataFrame) -> DataFrame:
     return feed.filter(F.col("github_event_type").isNotNull()).select(*INTEGRATION_EVENTS.columns)
 
 
-def integration_events(events: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def integration_events(
+    events: DataFrame, target: DataFrame | None = None, since: Column | None = None
+) -> DataFrame:
     """Feed rows not yet in ``target`` (all of them if there is no target).
 
-    A target without rows starts at 2015, no target at the first event.
+    ``since`` is the newest second of the target, looked up in it unless given. A target without rows starts at 2015, no target at the first event.
 
     The target keeps whole seconds, so its newest second may be only partly
     loaded: events of that one second are checked against the target by
@@ -125,7 +127,8 @@ def integration_events(events: DataFrame, target: DataFrame | None = None) -> Da
     if target is None:
         return classify_events(events)
 
-    since = watermark(target, "timestamp_seconds", by_day=True)
+    if since is None:
+        since = watermark(target, "timestamp_seconds", by_day=True)
     next_second = since + F.expr("INTERVAL 1 SECOND")
     later = on_or_after_day(events, since).filter(F.col("received") >= next_second)
 
@@ -137,5 +140,5 @@ def integration_events(events: DataFrame, target: DataFrame | None = None) -> Da
         loaded = loaded.filter(F.col(PARTITION_COLUMN) == F.to_date(since))
     edge = edge.join(one_row_per_key(loaded, ["delivery_id"]), "delivery_id", "left_anti")
 
-    columns = [c for c in events.columns if c != PARTITION_COLUMN]
+    columns = [c for c in events.columns if c not in (PARTITION_COLUMN, BATCH_COLUMN)]
     return classify_events(later.select(*columns).unionByName(edge.select(*columns)))

@@ -4,22 +4,26 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and read it from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, so that data outlives any executor.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``, so
-    the data outlives any executor. A temporary folder is used only where the
-    setting is absent and the session is local.
+    A temporary folder is used only where the setting is absent and the session is local.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="devmetrics-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared folder and read it from there."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="devmetrics-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

@@ -6,20 +6,25 @@ touch JSON, so a parsing error cannot cancel out.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from devmetrics.functions.payload import json_scalar
+from devmetrics.functions.payload import field, json_scalar, parse_payload
 from devmetrics.operators import artifacts as art
 from devmetrics.operators import ingest, publisher, pull_requests, redelivery, review
 from devmetrics.operators.incremental import incremental_rows
 from devmetrics.operators.integration import classify_events, integration_events
-from devmetrics.plans.staging import stage
+from devmetrics.plans import jobs
+from devmetrics.plans.staging import shared_folder, stage
+from devmetrics.plans.typed import write_typed
 from devmetrics.session import configure
 from devmetrics.sources.derived import WEBHOOK_SECRET, DerivedEvents
+from devmetrics.sources.tables import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,19 +98,19 @@ prs AS (
 )"""
 
 
-def _people(reviewer: str) -> str:
+def _people(reviewer: str, seen: str = "") -> str:
     return f"""
 rv AS (
   SELECT CAST(1000000 + l_orderkey AS VARCHAR) AS pr_id,
          {reviewer}('User' || (l_suppkey % 97)) AS reviewer,
          strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS updated_at
-  FROM lineitem WHERE l_linenumber BETWEEN 1 AND 3
+  FROM lineitem WHERE l_linenumber BETWEEN 1 AND 3 {seen}
 ),
 cm AS (
   SELECT CAST(1000000 + l_orderkey AS VARCHAR) AS pr_id,
          'User' || (l_suppkey % 97) AS commenter,
          strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS updated_at
-  FROM lineitem WHERE l_linenumber BETWEEN 4 AND 6
+  FROM lineitem WHERE l_linenumber BETWEEN 4 AND 6 {seen}
 ),
 pairs AS (SELECT DISTINCT pr_id, author FROM prs),
 reviews_agg AS (
@@ -209,6 +214,54 @@ def _(d):
     return incremental_rows(rows, loaded, "received")
 
 
+# -- through the table store ---------------------------------------------------------
+
+# Events before this instant come with the first batch of the intake, all others with the second.
+SECOND_BATCH = "1994-01-01"
+PR_TYPES = ("merged_pull_requests", "pull_request_activity")
+
+# What the load that sees a pull request close can know of its reviews.
+SEEN = f"""
+    AND (l_shipdate < TIMESTAMP '{SECOND_BATCH}' OR l_orderkey NOT IN (
+      SELECT k FROM o WHERE st = 'F' AND d + to_seconds(k % 86400) < TIMESTAMP '{SECOND_BATCH}'))"""
+
+
+def _new_store(d: DerivedEvents) -> TableStore:
+    return TableStore(d.spark, f"{shared_folder(d.spark)}/devmetrics-tables/{uuid.uuid4().hex}")
+
+
+def _batches(events: DataFrame, second: str) -> list[tuple[str, DataFrame]]:
+    """Two batches of the intake: what was received before ``second``, and the rest."""
+    early = F.col("received") < F.lit(f"{second} 00:00:00 UTC").cast("timestamp")
+    return [("first", events.filter(early)), ("second", events.filter(~early))]
+
+
+def _by_year(events: DataFrame) -> DataFrame:
+    """Received at the start of their year: the driver's line items span thousands of days."""
+    return events.withColumn("received", F.date_trunc("YEAR", "received"))
+
+
+def _loaded_twice(d: DerivedEvents, table: str) -> DataFrame:
+    """A statistics table after two batches of the intake with a load behind each that is run twice."""
+    store = _new_store(d)
+    jobs.set_position(store, table, "1970-01-01 00:00:00 UTC")
+    closed = _batches(d.pull_requests, SECOND_BATCH)
+    activity = _batches(d.reviews.unionByName(d.comments), SECOND_BATCH)
+    for (batch, prs), (_, rows) in zip(closed, activity):
+        write_typed(store, prs.unionByName(_by_year(rows)), batch, PR_TYPES)
+        for _ in range(2):
+            jobs.load_pull_request_stats(store, table, run=batch)
+    return store.read(table).drop("event_date", "ingest_batch")
+
+
+@query(
+    "stored_prstats_pull_requests",
+    f"WITH {ORDERS}, {_prs(KEEP)}, {_people(KEEP, SEEN)} SELECT prs.*, reviews, comments {WITH_CELLS}",
+)
+def _(d):
+    return _loaded_twice(d, "prstats_pull_requests")
+
+
 # -- activity feed --------------------------------------------------------------
 
 FEED = f"""
@@ -297,6 +350,23 @@ def _(d):
     return integration_events(d.events, loaded)
 
 
+# The event table after two batches, one of them written again, whose days were then merged.
+@query(
+    "stored_feed_after_compaction",
+    f"""WITH {FEED} SELECT * EXCLUDE (received) FROM feed
+WHERE delivery_id LIKE 'wr-%' OR delivery_id LIKE 'mi-%'""",
+)
+def _(d):
+    store = _new_store(d)
+    events = d.workflow_runs.unionByName(d.misc)
+    odd = F.pmod(F.xxhash64("delivery_id"), F.lit(2)) == 1
+    for batch, rows in [("one", events.filter(odd)), ("two", events.filter(~odd)), ("one", events.filter(odd))]:
+        store.write_batch("optimized_events", rows, batch)
+    store.compact("optimized_events")
+    store.vacuum("optimized_events", keep=dt.timedelta(0))
+    return classify_events(store.read("optimized_events"))
+
+
 # -- intake -----------------------------------------------------------------------
 
 IDENTITY = f"""
@@ -576,6 +646,35 @@ def _(d):
     )
 
 
+@query(
+    "json_scalars_in_arrays",
+    """SELECT 'mx-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS delivery_id,
+       CAST(i - 1 AS INTEGER) AS position,
+       CASE (l_partkey + l_suppkey + i) % 6 WHEN 2 THEN '' || i WHEN 4 THEN '{not an object ' || i
+            WHEN 5 THEN md5('c' || l_orderkey || '-' || l_linenumber || '-' || i) END AS commit_sha
+FROM (SELECT lineitem.*, unnest(range(1, l_partkey % 4 + 1)) AS i FROM lineitem WHERE l_linenumber >= 6)""",
+)
+def _(d):
+    parsed = parse_payload(d.mixed_pushes, "commits:array<struct<id:string>>", keep=("delivery_id",))
+    commits = parsed.select("delivery_id", F.posexplode(field("commits")).alias("position", "commit"))
+    return commits.select("delivery_id", "position", F.col("commit.id").alias("commit_sha"))
+
+
+@query("stored_commit_review_status", f"WITH {STATUSES}, {TAGGED}")
+def _(d):
+    store = _new_store(d)
+    for batch, events in _batches(d.pushes.unionByName(d.issues), SECOND_BATCH):
+        write_typed(store, _by_year(events), batch, ("pushed_commits", "emergency_issues"))
+    return review.review_status(
+        review.unreviewed_commits(store.read("pushed_commits"), d.reviewed_commits),
+        review.counted_issues(store.read("emergency_issues")),
+        d.commit_pull_requests,
+        review.pull_request_reviews_from_events(d.reviews),
+        d.lookup_errors,
+        stage,
+    )
+
+
 # -- workflow logs ---------------------------------------------------------------------
 
 QUEUE = """
@@ -608,9 +707,13 @@ def _(d):
     return art.artifact_queue(d.events, d.artifacts)
 
 
-@query("artifact_queue_all", f"WITH {QUEUE} {QUEUE_SELECT}")
+@query("stored_artifact_queue", f"WITH {QUEUE} {QUEUE_SELECT}")
 def _(d):
-    return art.artifact_queue(d.workflow_runs, d.artifacts)
+    store = _new_store(d)
+    for batch, events in _batches(d.workflow_runs, "2024-01-15"):
+        write_typed(store, events, batch, ("completed_runs",))
+    store.append("artifacts", d.artifacts)
+    return jobs.plan_log_fetch(store)
 
 
 # The limit is what this one shows: the oldest runs of a batch that a caller asks for.
@@ -649,6 +752,47 @@ def _(d):
     return art.artifact_pr_comments(queue, d.fetch_outcomes, BUCKET, PROJECT)
 
 
+# How many comments of a run got through before the first one that did not.
+POSTED = f"""
+{QUEUE},
+posted AS (
+  SELECT queue.*, coalesce(len(string_split(nullif(pull_request_numbers, ''), ',')), 0) AS wanted,
+         CASE WHEN (event_id % 7 = 3 AND event_id % 21 <> 3 AND event_id % 2 = 0)
+                OR (event_id % 17 = 4 AND NOT event_id % 21 = 3) OR (event_id % 17 = 4 AND event_id % 2 = 1) THEN 0
+              WHEN (event_id % 7 = 3 AND event_id % 21 <> 3 AND event_id % 2 = 1) OR (event_id % 13 = 5 AND NOT (event_id % 21 = 3 AND event_id % 2 = 1)) THEN 1
+              ELSE 2 END AS done
+  FROM queue
+)"""
+
+
+@query(
+    "artifact_status_of_posts",
+    f"""WITH {POSTED}
+SELECT delivery_id, TIMESTAMP '2024-02-05' AS processed_at,
+       CASE WHEN status = 'SUCCESS' AND done < wanted THEN 'FAILURE' ELSE status END AS status,
+       workflow_url AS workflow_uri,
+       'gs://{BUCKET}/' || repo_slug || '/' || delivery_id || '/artifacts.tar.gz' AS logs_uri,
+       github_actor, org_name AS organization_name, repo_name AS repository_name,
+       repo_slug AS repository_slug, '' AS job_name
+FROM posted""",
+)
+def _(d):
+    queue = art.artifact_queue(d.events, d.artifacts)
+    return art.artifact_status(queue, d.fetch_outcomes, BUCKET, AS_OF, d.comment_posts)
+
+
+@query(
+    "artifact_comments_posted",
+    f"""WITH {POSTED}
+SELECT delivery_id, CAST(n AS INTEGER) AS position, event_id + n AS pull_request_number
+FROM posted, (VALUES (0), (1)) v(n) WHERE status = 'SUCCESS' AND n < least(wanted, done)""",
+)
+def _(d):
+    queue = art.artifact_queue(d.events, d.artifacts)
+    comments = art.artifact_pr_comments(queue, d.fetch_outcomes, BUCKET, PROJECT, d.comment_posts)
+    return comments.select("delivery_id", "position", "pull_request_number")
+
+
 @query(
     "publisher_source",
     """WITH runs AS (

@@ -18,9 +18,8 @@ class TableSpec:
 
     ``partition_time`` names the timestamp whose UTC day becomes the
     ``event_date`` partition; ``cluster_by`` orders rows inside each file so
-    that Parquet min/max statistics can skip row groups. A ``streamed`` table is
-    also partitioned by the batch that wrote it, so that a replayed batch
-    replaces its own rows instead of adding them again.
+    that Parquet min/max statistics can skip row groups. Every table is also
+    partitioned by the batch that wrote it (see ``TableStore``).
     """
 
     name: str
@@ -28,7 +27,6 @@ class TableSpec:
     required: tuple[str, ...] = ()
     partition_time: str | None = None
     cluster_by: tuple[str, ...] = ()
-    streamed: bool = False
 
     @property
     def schema(self) -> T.StructType:
@@ -76,7 +74,52 @@ OPTIMIZED_EVENTS = TableSpec(
     """,
     partition_time="received",
     cluster_by=("event", "enterprise_name", "organization_name", "repository_name"),
-    streamed=True,
+)
+
+# Typed rows of single event kinds, filled by the intake so that no job parses history.
+MERGED_PULL_REQUESTS = TableSpec(
+    "merged_pull_requests",
+    _PR_COLUMNS,
+    partition_time="received",
+    cluster_by=("pr_id",),
+)
+
+PULL_REQUEST_ACTIVITY = TableSpec(
+    "pull_request_activity",
+    "pr_id STRING, is_review BOOLEAN, who STRING, at STRING, n BIGINT, received TIMESTAMP",
+    partition_time="received",
+    cluster_by=("pr_id",),
+)
+
+PUSHED_COMMITS = TableSpec(
+    "pushed_commits",
+    """
+    author STRING, organization STRING, repository STRING, branch STRING, visibility STRING,
+    commit_sha STRING, commit_timestamp TIMESTAMP, compare_url STRING, compare STRING, received TIMESTAMP
+    """,
+    partition_time="received",
+    cluster_by=("commit_sha",),
+)
+
+EMERGENCY_ISSUES = TableSpec(
+    "emergency_issues",
+    """
+    organization STRING, author STRING, created_at TIMESTAMP, closed_at TIMESTAMP,
+    html_url STRING, received TIMESTAMP
+    """,
+    partition_time="received",
+    cluster_by=("organization", "author"),
+)
+
+COMPLETED_RUNS = TableSpec(
+    "completed_runs",
+    """
+    delivery_id STRING, repo_slug STRING, repo_name STRING, org_name STRING, logs_url STRING,
+    github_actor STRING, workflow_url STRING, workflow_run_id STRING, workflow_run_attempt STRING,
+    pull_request_numbers ARRAY<STRING>, received TIMESTAMP
+    """,
+    partition_time="received",
+    cluster_by=("delivery_id",),
 )
 
 INTEGRATION_EVENTS = TableSpec(
@@ -166,14 +209,12 @@ WEBHOOK_REJECTS = TableSpec(
     "delivery_id STRING, signature STRING, received TIMESTAMP, event STRING, "
     "status_code INT, reason STRING, payload STRING",
     partition_time="received",
-    streamed=True,
 )
 
 DEAD_LETTERS = TableSpec(
     "dead_letters",
     "delivery_id STRING, signature STRING, received TIMESTAMP, event STRING, payload STRING",
     partition_time="received",
-    streamed=True,
 )
 
 COMMENT_OUTBOX = TableSpec(
@@ -183,6 +224,13 @@ COMMENT_OUTBOX = TableSpec(
     required=("delivery_id", "pull_request_number", "body"),
 )
 
+RELAY_OUTBOX = TableSpec(
+    "relay_outbox",
+    "delivery_id STRING, received TIMESTAMP, value STRING, attributes MAP<STRING, STRING>",
+    required=("value",),
+    partition_time="received",
+)
+
 REDELIVERY_OUTBOX = TableSpec(
     "redelivery_outbox",
     "id BIGINT, guid STRING, requested_at TIMESTAMP",
@@ -193,6 +241,11 @@ TABLES: dict[str, TableSpec] = {
     spec.name: spec
     for spec in (
         OPTIMIZED_EVENTS,
+        MERGED_PULL_REQUESTS,
+        PULL_REQUEST_ACTIVITY,
+        PUSHED_COMMITS,
+        EMERGENCY_ISSUES,
+        COMPLETED_RUNS,
         INTEGRATION_EVENTS,
         PRSTATS,
         PRSTATS_PULL_REQUESTS,
@@ -205,6 +258,7 @@ TABLES: dict[str, TableSpec] = {
         WEBHOOK_REJECTS,
         DEAD_LETTERS,
         COMMENT_OUTBOX,
+        RELAY_OUTBOX,
         REDELIVERY_OUTBOX,
     )
 }

@@ -522,6 +522,48 @@ class DerivedEvents:
             F.when(e % 8 == 5, F.lit("connection reset")).when(e % 16 == 6, F.lit("write failed")).alias("error"),
         )
 
+    @cached_property
+    def comment_posts(self) -> DataFrame:
+        """Answers to the first two comments of each run: failed, repeated and missing ones among them."""
+        e, n = F.col("event_id"), F.col("position")
+        tried = self.activity.filter(F.col("event_type") == "purchase").select(
+            "event_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("position")
+        )
+        refused, broken = (e % 7 == 3) & (n == e % 2), (e % 17 == 4) & (n == 0)
+        first = tried.filter(~((e % 13 == 5) & (n == 1))).select(
+            text("wr-", e).alias("delivery_id"),
+            "position",
+            F.when(refused, 403).when(broken, null("int")).otherwise(201).alias("http_status"),
+            F.when(broken & ~refused, "connection reset").alias("error"),
+        )
+        again = tried.filter(refused & (e % 21 == 3)).select(
+            text("wr-", e).alias("delivery_id"), "position", F.lit(201).alias("http_status"), null().alias("error")
+        )
+        return first.unionByName(again)
+
+    @cached_property
+    def mixed_pushes(self) -> DataFrame:
+        """Pushes whose commit ids are texts, numbers, objects, arrays and nulls by turns."""
+        odd = F.col("l_partkey") + F.col("l_suppkey")
+
+        def commit(i: Column) -> Column:
+            kind = (odd + i) % 6
+            name = (
+                F.when(kind == 0, text("{\"id\":", i, "}"))
+                .when(kind == 1, text("[\"", i, "\"]"))
+                .when(kind == 2, text(i))
+                .when(kind == 3, "null")
+                .when(kind == 4, text("\"{not an object ", i, "\""))
+                .otherwise(text("\"", self._commit_sha(i), "\""))
+            )
+            return text("{\"id\":", name, ",\"added\":[]}")
+
+        lines = self.lineitem.filter(F.col("l_linenumber") >= 6)
+        commits = F.array_join(F.transform(self._commit_numbers(), commit), ",")
+        return as_event(
+            lines, "push", self._line_id("mx"), F.col("l_shipdate"), text("{\"commits\":[", commits, "]}")
+        )
+
     @cached_property
     def pull_request_events(self) -> DataFrame:
         e = F.col("event_id")
@@ -607,7 +649,7 @@ EVENT_SETS = {
 STATE_SETS = [
     "raw_webhooks", "messages",
     "reviewed_commits", "commit_pull_requests", "lookup_errors",
-    "artifacts", "fetch_outcomes", "pull_request_events", "invocation_comments",
+    "artifacts", "fetch_outcomes", "comment_posts", "mixed_pushes", "pull_request_events", "invocation_comments",
     "failure_events", "failed_writes",
     "deliveries", "arrived", "redelivery_outcomes", "checkpoints",
 ]

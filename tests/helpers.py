@@ -2,6 +2,9 @@
 
 import datetime as dt
 import json
+import uuid
+
+from devmetrics.streaming.ingest import store_events
 
 EVENT_DDL = (
     "delivery_id string, signature string, received timestamp, event string, "
@@ -38,3 +41,8 @@ def final_plan(df):
     """The executed adaptive plan, after running the query."""
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def take_in(store, df):
+    """Events with their identity, stored as one batch of the intake."""
+    store_events(store, df, f"test-{uuid.uuid4().hex}")

@@ -7,7 +7,7 @@ import pytest
 from helpers import event, events, final_plan, rows, ts
 from pyspark.sql import functions as F
 
-from devmetrics.functions.payload import json_scalar, payload_ddl
+from devmetrics.functions.payload import field, json_scalar, parse_payload, payload_ddl
 from devmetrics.functions.signature import hmac_sha256_hex
 from devmetrics.operators import ingest
 from devmetrics.plans import jobs
@@ -236,3 +236,25 @@ def test_requests(spark):
         "headers map<string,string>, received timestamp, body binary",
     )
     assert rows(from_requests(df), "delivery_id", "event", "signature") == [("d", "push", "s")]
+
+
+def test_a_second_parse_runs_only_inside_a_branch(spark):
+    df = spark.createDataFrame([('{"a": {"b": "x"}, "c": "{x"}',), ('{"a": {"b": {}}, "c": [1]}',)], "payload string")
+    parsed = parse_payload(df, "a.b", "c").select(field("a.b").alias("b"), field("c").alias("c"))
+    assert rows(parsed) == [("x", "{x"), (None, None)]
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    # Nothing outside of CASE WHEN ... RLIKE may parse the payload again.
+    for part in plan.split("try_parse_json")[:-1]:
+        assert part.rindex("RLIKE") > part.rindex("CASE WHEN")
+
+
+def test_scalars_inside_arrays(spark):
+    body = '{"p": [{"id": 5, "s": "a"}, {"id": "6", "s": {"x": 1}}, {"id": [7], "s": "[b"}, {"s": null}, null, {"id": 1.5, "d": {"t": [1]}}]}'
+    df = spark.createDataFrame([(body,), ('{"p": {}}',), ("{}",), (None,)], "payload string")
+    parsed = parse_payload(df, "p:array<struct<id:string,s:string,d:struct<t:string>>>")
+    items = parsed.filter(field("p").isNotNull()).selectExpr("posexplode(p.p) AS (i, x)").selectExpr("i", "x.id", "x.s", "x.d.t")
+    assert rows(items) == [
+        (0, "5", "a", None), (1, "6", None, None), (2, None, "[b", None), (3, None, None, None), (4, None, None, None), (5, "1.5", None, None),
+    ]
+    assert parsed.filter(field("p").isNotNull()).count() == 1

@@ -3,6 +3,7 @@ from helpers import event, events, rows, ts
 
 from devmetrics.operators import publisher
 from devmetrics.plans import jobs
+from devmetrics.schemas import TABLES
 
 AS_OF = "2024-02-05 00:00:00 UTC"
 
@@ -67,7 +68,7 @@ def test_job_round(spark, store):
         "artifacts",
         spark.createDataFrame(
             [("a", now, "FAILURE", "w", "gs://a", "bot", "o", "r", "o/r", "")],
-            store.schema("artifacts"),
+            TABLES["artifacts"].schema,
         ),
     )
     prs = merged(spark, (1, "2024-02-01"))

@@ -2,7 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from helpers import event, events, final_plan, rows
+from helpers import event, events, final_plan, rows, take_in
 from pyspark.sql import functions as F
 
 from devmetrics.operators import pull_requests as pr
@@ -163,7 +163,7 @@ def test_aggregates_by_pull_request_and_author(spark):
 
 @pytest.mark.parametrize("table", sorted(jobs.PR_TABLES))
 def test_job_appends_only_newer_events(spark, store, table):
-    store.append("optimized_events", events(spark, closed(1, "A"), review(1, "B")))
+    take_in(store, events(spark, closed(1, "A"), review(1, "B")))
     jobs.load_pull_request_stats(store, table)
     assert rows(store.read(table), "pr_id", "reviews") in ([("1", "b")], [("1", "B")])
     jobs.load_pull_request_stats(store, table)
@@ -171,7 +171,7 @@ def test_job_appends_only_newer_events(spark, store, table):
 
     late = closed(2, "A", "late", received="2024-01-01 12:00:00")
     new = closed(3, "A", "new", received="2024-01-02 00:00:01")
-    store.append("optimized_events", events(spark, late, new, review(1, "C")))
+    take_in(store, events(spark, late, new, review(1, "C")))
     jobs.load_pull_request_stats(store, table)
     assert rows(store.read(table), "pr_id") == [("1",), ("3",)]
 
@@ -179,7 +179,7 @@ def test_job_appends_only_newer_events(spark, store, table):
 def test_job_loads_closed_pull_requests_only(spark, store):
     data = [closed(n, "a", f"c{n}") for n in (1, 2)]
     data += [review(n, w) for n in (1, 2, 3) for w in ("a", "b")] + [comment(1, "c", "t")]
-    store.append("optimized_events", events(spark, *data))
+    take_in(store, events(spark, *data))
     jobs.load_pull_request_stats(store, "prstats")
     assert rows(store.read("prstats"), "pr_id", "reviewer", "reviews", "comments") == [
         ("1", "a", "b", "c|t"), ("1", "b", "b", "c|t"), ("2", "a", "b", None), ("2", "b", "b", None)
@@ -187,7 +187,7 @@ def test_job_loads_closed_pull_requests_only(spark, store):
 
 
 def test_id_filter_comes_before_the_shuffle(spark, store):
-    store.append("optimized_events", events(spark, closed(1, "a"), review(1, "b"), review(2, "b")))
+    take_in(store, events(spark, closed(1, "a"), review(1, "b"), review(2, "b")))
     df = store.read("optimized_events")
     only = pr.new_pull_request_ids(df, None)
     activity = pr.review_activity(df, only=only)
@@ -198,7 +198,7 @@ def test_id_filter_comes_before_the_shuffle(spark, store):
 
 
 def test_reviews_and_comments_share_one_scan(spark, store):
-    store.append("optimized_events", events(spark, closed(1, "a"), review(1, "b"), comment(1, "c")))
+    take_in(store, events(spark, closed(1, "a"), review(1, "b"), comment(1, "c")))
     stats = pr.prstats(store.read("optimized_events"))
     # The pull requests are scanned once; the activity is computed once and reused.
     assert final_plan(stats).count("FileScan parquet") <= 2

@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from helpers import event, events, final_plan, rows, ts
+from helpers import event, events, final_plan, rows, take_in, ts
 from pyspark.sql import functions as F
 
 from devmetrics.functions.links import url_prefix
@@ -267,8 +267,8 @@ def test_buckets_cover_their_interval_and_stay_few(spark):
 
 
 def test_job_is_idempotent_and_retries_transient_errors(spark, store):
-    store.append(
-        "optimized_events",
+    take_in(
+        store,
         events(spark, push("a", "b"), issue(1, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z")),
     )
     lookups = (prs(spark, ("a", 0, 1)), states(spark, (1, "APPROVED")))
