@@ -95,11 +95,11 @@ class Shard:
                 taken = 0
 
     def best(self, queries: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, list[int]]]:
-        """(query, vectors, scores) of the best ``k`` of each query; ``own`` are the queries' ids."""
+        """(query, vectors, scores) of the best ``k`` of each query; ``own`` are the queries' row numbers."""
         n = len(self.ids)
         norms = np.sqrt((queries**2).sum(axis=1))
         scores = np.zeros((len(queries), n))
-        self_match = (own[:, None] == self.ids[None, :]) & self.has_id[None, :]
+        self_match = own[:, None] == self.rows[None, :]
         possible = ~self_match
         for segment, left in zip(self.segments, self.left):
             scores += queries @ segment.T
@@ -134,7 +134,7 @@ def _searched(k: int):
     """Streams of (shard, is_query, id, row, vector): the vectors of a shard, then its queries."""
 
     def answers(shard: Shard, ids: list, rows: list, vectors: list) -> pa.RecordBatch:
-        own = np.array(ids, np.int64)
+        own = np.array(rows, np.int64)
         width = shard.vectors.shape[1]
         made = np.zeros((len(vectors), width))
         for i, v in enumerate(vectors):

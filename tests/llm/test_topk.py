@@ -41,3 +41,13 @@ def test_large_components_and_few_rows(spark):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     assert result(topk.top_k(df, F.col("vec_id") % 50 == 0)) == brute(rows)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_only_the_own_row_is_left_out(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.9, 0.0]), (50, [1.0, 0.0]), (None, [1.0, 0.0]), (7, [0.5, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
+    got = topk.top_k(df, F.col("vec_id") == 50).collect()
+    by_rank = sorted((r["rank"], r["score"], r["vec_id"] is None, r["vec_id"] or 0) for r in got if r["query_id"] == 50)
+    big, mid, low = 256 * 256, 256 * 230, 256 * 128
+    # Each of the two equal rows meets the other one; the third meets both.
+    assert [x[:2] for x in by_rank] == [(1, mid), (1, big), (1, big), (2, mid), (2, big), (2, big), (3, mid), (3, mid), (3, mid), (4, 230 * 128), (4, low), (4, low)]
