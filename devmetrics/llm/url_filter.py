@@ -8,7 +8,8 @@ URLs gives distrust, since it is those who link to a bad host that are suspect.
 A host is blocked when its distrust is above ``threshold`` times its trust plus
 distrust; one that neither reaches is allowed.
 
-Links are host pairs that differ, counted once per page. Both walks are joins
+Links are host pairs that differ, counted once per page. A host counts without
+user, port and case, as source and as target alike. Both walks are joins
 and grouped sums over the host edges, repeated until a step reaches no new
 host and changes no score by more than ``tolerance`` times itself. So it does
 not matter how large the corpus is or what other hosts do. The number of steps
@@ -100,14 +101,17 @@ def with_rule(pages: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
+def node_name(host: Column) -> Column:
+    """The host as a node of the link graph: without a user before it, a port behind it, and case."""
+    return lower_ascii(F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", ""))
+
+
 def host_links(pages: DataFrame) -> DataFrame:
-    """(src, dst, weight): pages of one host that link to another; in: host, html."""
-    found = F.array_distinct(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK), 1))
-    to = F.explode(found).alias("dst")
-    each = pages.filter("host <> ''").select(F.col("host").alias("src"), to)
-    # A host may be followed by a port and led by a user.
-    bare = lower_ascii(F.regexp_replace(F.regexp_replace("dst", "^.*@", ""), ":[0-9]*$", ""))
-    each = each.withColumn("dst", bare).filter("dst <> '' AND dst <> src")
+    """(src, dst, weight): pages of one node that link to another; in: host, html."""
+    found = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK), 1)
+    to = F.explode(F.array_distinct(F.transform(found, node_name))).alias("dst")
+    each = pages.select(node_name(F.col("host")).alias("src"), to)
+    each = each.filter("src <> '' AND dst <> '' AND dst <> src")
     return each.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
@@ -122,8 +126,10 @@ def page_rank(
 ) -> DataFrame:
     """(host, score) of a walk along ``edges`` that restarts in ``seeds`` (host, mass).
 
-    Mass at hosts without links goes back to the seeds as a whole, so scores
-    keep their proportions. Hosts that the walk does not reach have no row. A
+    Mass at hosts without links goes back to the seeds, so the scores add up to
+    the mass of the seeds. What goes back restarts like everything else: it
+    raises all scores by one factor, which is applied at the end. Hosts that
+    the walk does not reach have no row. A
     host reached for the first time counts as changed by all of its score. The
     walk ends by itself, since what moves shrinks by ``damping`` each step;
     ``max_steps`` ends it earlier.
@@ -151,7 +157,8 @@ def page_rank(
         if largest < tolerance:
             break
     work.drop(f"{name}-share")
-    return score
+    lost = F.try_divide(seeds.agg(F.sum("mass")).scalar(), score.agg(F.sum("score")).scalar())
+    return score.select("host", (F.col("score") * lost).alias("score"))
 
 
 def _seeds(judged: DataFrame, verdict: str, total: int) -> DataFrame:
@@ -196,8 +203,11 @@ def url_verdicts(
     named = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     judged = work.write(with_rule(named, rule_table(spark, rules)), "judged")
     edges = work.write(host_links(pages.select(host.alias("host"), F.col(html).alias("html"))), "edges")
-    hosts = work.write(host_verdicts(judged, edges, work, threshold, **walk), "hosts")
-    met = judged.join(hosts, "host", "left")
+    nodes = judged.select(node_name(F.col("host")).alias("host"), "rule_verdict")
+    hosts = work.write(host_verdicts(nodes, edges, work, threshold, **walk), "hosts")
+    met = judged.withColumn("node", node_name(F.col("host"))).join(
+        hosts.withColumnRenamed("host", "node"), "node", "left"
+    )
     return met.select(
         "page_id", "host", "path", "rule",
         F.coalesce("rule_verdict", "host_verdict", F.lit("allow")).alias("verdict"),

@@ -36,19 +36,48 @@ def test_rules(spark):
 
 
 def walk(edges, seeds):
-    """Personalised PageRank by plain iteration."""
+    """Personalised PageRank by plain iteration; what reaches a host without links goes back to the seeds."""
     total = {}
     for (a, _), w in edges.items():
         total[a] = total.get(a, 0) + w
-    score = {}
-    for _ in range(200):
-        new = {h: 0.15 * m for h, m in seeds.items()}
+    mass = sum(seeds.values())
+    score = dict(seeds)
+    for _ in range(400):
+        lost = sum(s for h, s in score.items() if h not in total)
+        new = {h: (0.15 + 0.85 * lost / mass) * m for h, m in seeds.items()}
         for (a, b), w in edges.items():
             new[b] = new.get(b, 0) + 0.85 * score.get(a, 0) * w / total[a]
         score = new
+    assert abs(sum(score.values()) - mass) < 1e-9
     return score
 
 
+def test_many_hosts_without_links(spark):
+    """Trust leaks into dead ends much more than distrust does; the proportions must not show it."""
+    pages = [(i, f"http://dead{i}.net/", "") for i in range(30)]
+    pages += [(100, "http://a.org/", " ".join(f'<a href="http://dead{i}.net/">' for i in range(30)) + '<a href="http://mixed.net">')]
+    pages += [(101, "http://mixed.net/", '<a href="http://evil.com/de/">'), (102, "http://evil.com/de/", '<a href="http://mixed.net">')]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {r["host"]: r for r in url_filter.url_verdicts(df, tolerance=1e-12).collect()}
+    edges = {("a.org", f"dead{i}.net"): 1 for i in range(30)} | {("a.org", "mixed.net"): 1, ("mixed.net", "evil.com"): 1, ("evil.com", "mixed.net"): 1}
+    trust, distrust = walk(edges, {"a.org": 0.5}), walk({(b, a): w for (a, b), w in edges.items()}, {"evil.com": 0.5})
+    for host, r in got.items():
+        assert abs(r["trust"] - trust.get(host, 0)) < 1e-9 and abs(r["distrust"] - distrust.get(host, 0)) < 1e-9
+
+
+def test_a_host_has_one_name_in_the_graph(spark):
+    pages = [
+        (1, "http://a.org/", '<a href="http://B.net:80/x"> <a href="http://b.net/"> <a href=//u@b.NET:8080/y> <a href="http://c.net">'),
+        (2, "http://u@b.net:8080/", '<a href="https://evil.com:443/de/">'), (3, "http://evil.com/de/", ""), (4, "http://evil.com:8443/x", ""),
+    ]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    links = url_filter.host_links(df.withColumn("host", url_filter.url_parts(df.url)[0]))
+    assert sorted(map(tuple, links.collect())) == [("a.org", "b.net", 1.0), ("a.org", "c.net", 1.0), ("b.net", "evil.com", 1.0)]
+    got = {r["page_id"]: r for r in url_filter.url_verdicts(df).collect()}
+    assert got[2]["host"] == "u@b.net:8080" and got[2]["trust"] > 0 and got[2]["distrust"] > 0
+    assert got[4]["host"] == "evil.com:8443" and got[4]["verdict"] == "block"
+
+
 def test_trust_and_distrust_spread(spark):
     pages = [
         (1, "http://a.org/x", '<a href="http://good.net/">'), (2, "http://good.net/en/", "<a href=//ok.net:80/p>"),
