@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -114,7 +115,10 @@ def classify_events(events: DataFrame) -> DataFrame:
 
 
 def integration_events(
-    events: DataFrame, target: DataFrame | None = None, since: Column | None = None
+    events: DataFrame,
+    target: DataFrame | None = None,
+    since: Column | None = None,
+    lookback: dt.timedelta | None = None,
 ) -> DataFrame:
     """Feed rows not yet in ``target`` (all of them if there is no target).
 
@@ -123,6 +127,8 @@ def integration_events(
     The target keeps whole seconds, so its newest second may be only partly
     loaded: events of that one second are checked against the target by
     delivery id, everything later is new by its time alone and needs no join.
+    With a ``lookback`` the same check covers that time before it as well, so
+    that late events load, once; only those days of both are read.
     """
     if target is None:
         return classify_events(events)
@@ -132,12 +138,15 @@ def integration_events(
     next_second = since + F.expr("INTERVAL 1 SECOND")
     later = on_or_after_day(events, since).filter(F.col("received") >= next_second)
 
-    edge = events.filter((F.col("received") > since) & (F.col("received") < next_second))
-    loaded = target.filter(F.col("timestamp_seconds") == since)
+    start = since if lookback is None else since - F.lit(lookback)
+    edge = on_or_after_day(events, start).filter(
+        (F.col("received") > start) & (F.col("received") < next_second)
+    )
+    loaded = on_or_after_day(target, start).filter(
+        F.col("timestamp_seconds") >= F.date_trunc("SECOND", start)
+    )
     if PARTITION_COLUMN in events.columns:
-        edge = edge.filter(F.col(PARTITION_COLUMN) == F.to_date(since))
-    if PARTITION_COLUMN in target.columns:
-        loaded = loaded.filter(F.col(PARTITION_COLUMN) == F.to_date(since))
+        edge = edge.filter(F.col(PARTITION_COLUMN) <= F.to_date(since))
     edge = edge.join(one_row_per_key(loaded, ["delivery_id"]), "delivery_id", "left_anti")
 
     columns = [c for c in events.columns if c not in (PARTITION_COLUMN, BATCH_COLUMN)]

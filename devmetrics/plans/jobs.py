@@ -24,6 +24,7 @@ from devmetrics.operators import ingest, publisher, pull_requests, redelivery
 from devmetrics.operators.incremental import EPOCH, newer_than, read_watermark
 from devmetrics.operators.integration import integration_events
 from devmetrics.operators.review import counted_issues, review_status, unreviewed_commits
+from devmetrics.plans.skew import one_row_per_key
 from devmetrics.plans.staging import stage
 from devmetrics.sources.tables import Outputs, TableStore
 
@@ -66,9 +67,8 @@ class _Position:
 
         def new_state(staged: Outputs) -> dict:
             newest = self._micros(read_watermark(staged[self.table], self.column))
-            if newest is None:
-                return state
-            return {"position": newest}
+            known = [m for m in (state.get("position"), newest) if m is not None]
+            return {"position": max(known)} if known else state
 
         return new_state
 
@@ -95,20 +95,31 @@ def record_failed_writes(
     store.run_once("failed_writes", run, build)
 
 
-def load_integration_events(store: TableStore, run: str | None = None) -> bool:
+def load_integration_events(
+    store: TableStore, run: str | None = None, lookback: dt.timedelta | None = None
+) -> bool:
+    """Store the events since the last run, with a ``lookback`` also late ones of that time."""
     position = _Position(store, "integration_events", "timestamp_seconds")
 
     def build(state: dict):
         target = store.read("integration_events")
-        rows = integration_events(store.read("optimized_events"), target, position.reached(state))
+        rows = integration_events(
+            store.read("optimized_events"), target, position.reached(state), lookback
+        )
         return {"integration_events": rows}, position.after(state)
 
     return store.run_once("integration_events", run, build)
 
 
-def load_pull_request_stats(store: TableStore, table: str, run: str | None = None) -> bool:
+def load_pull_request_stats(
+    store: TableStore, table: str, run: str | None = None, lookback: dt.timedelta | None = None
+) -> bool:
     """Store the pull requests that closed since the last run.
 
+    Close events that arrive late, at or before the position the last run
+    reached, never load, unless they are within the ``lookback`` before it: those
+    are checked against the target by pull request and time.
+
     Both inputs are typed tables. Reviews and comments may be of any age, so all
     stored activity is read; rows of other pull requests are dropped by a semi
     join, which Spark broadcasts or shuffles by the measured size of the staged ids.
@@ -118,7 +129,14 @@ def load_pull_request_stats(store: TableStore, table: str, run: str | None = Non
 
     def build(state: dict):
         merged = store.read("merged_pull_requests")
-        prs = newer_than(merged, "received", position.reached(state), prune=True)
+        reached = position.reached(state)
+        prs = newer_than(merged, "received", reached, prune=True)
+        if lookback is not None:
+            start, keys = reached - F.lit(lookback), ["pr_id", "received"]
+            late = newer_than(merged, "received", start, prune=True).filter(F.col("received") <= reached)
+            loaded = store.read(table).filter(F.col("received") > start)
+            late = late.join(one_row_per_key(loaded, keys), keys, "left_anti")
+            prs = prs.unionByName(late)
         prs = prs.select(*(c for c in merged.columns if c not in ("event_date", "ingest_batch")))
         if lowercase:
             prs = prs.withColumn("author", F.lower("author"))

@@ -138,17 +138,17 @@ SELECT prs.*, rv.reviewer, reviews, comments
 
 @query("merged_pull_requests", f"WITH {ORDERS}, {_prs(FOLD)} SELECT * FROM prs")
 def _(d):
-    return pull_requests.merged_pull_requests(d.prstats_events)
+    return pull_requests.merged_pull_requests(d.events)
 
 
 @query("pr_reviews", f"{WITH_PRS} SELECT pr_id, reviewer, updated_at FROM rv")
 def _(d):
-    return pull_requests.pr_reviews(d.prstats_events)
+    return pull_requests.pr_reviews(d.events)
 
 
 @query("pr_comments", f"{WITH_PRS} SELECT pr_id, commenter, updated_at FROM cm")
 def _(d):
-    return pull_requests.pr_comments(d.prstats_events)
+    return pull_requests.pr_comments(d.events)
 
 
 @query(
@@ -157,8 +157,8 @@ def _(d):
 )
 def _(d):
     return pull_requests.reviewers_agg(
-        pull_requests.merged_pull_requests(d.prstats_events),
-        pull_requests.review_activity(d.prstats_events),
+        pull_requests.merged_pull_requests(d.events),
+        pull_requests.review_activity(d.events),
     )
 
 
@@ -168,24 +168,24 @@ def _(d):
 )
 def _(d):
     return pull_requests.comments_agg(
-        pull_requests.merged_pull_requests(d.prstats_events),
-        pull_requests.review_activity(d.prstats_events),
+        pull_requests.merged_pull_requests(d.events),
+        pull_requests.review_activity(d.events),
     )
 
 
 @query("prstats_pull_requests", f"{WITH_PRS_KEPT} SELECT prs.*, reviews, comments {WITH_CELLS}")
 def _(d):
-    return pull_requests.prstats_pull_requests(d.prstats_events)
+    return pull_requests.prstats_pull_requests(d.events)
 
 
 @query("prstats", f"{WITH_PRS} {REVIEW_ROWS}")
 def _(d):
-    return pull_requests.prstats(d.prstats_events)
+    return pull_requests.prstats(d.events)
 
 
 @query("prstats_pull_request_reviews", f"{WITH_PRS_KEPT} {REVIEW_ROWS}")
 def _(d):
-    return pull_requests.prstats_pull_request_reviews(d.prstats_events)
+    return pull_requests.prstats_pull_request_reviews(d.events)
 
 
 # The event times of these tables lie before the start of an empty target, so
@@ -198,8 +198,8 @@ WHERE prs.received > coalesce(
   TIMESTAMP '2015-01-01')""",
 )
 def _(d):
-    loaded = d.pull_requests.filter(F.col("received") < PRS_LOADED_UNTIL)
-    return pull_requests.prstats(d.prstats_events, loaded.select("received"))
+    loaded = d.events.filter("event = 'pull_request'").filter(F.col("received") < PRS_LOADED_UNTIL)
+    return pull_requests.prstats(d.events, loaded.select("received"))
 
 
 @query(
@@ -209,7 +209,7 @@ WHERE received > coalesce(
   (SELECT max(received) FROM prs WHERE received < TIMESTAMP '1999-01-01'), TIMESTAMP '2015-01-01')""",
 )
 def _(d):
-    rows = pull_requests.merged_pull_requests(d.pull_requests)
+    rows = pull_requests.merged_pull_requests(d.events)
     loaded = rows.filter(F.col("received") < PRS_LOADED_UNTIL)
     return incremental_rows(rows, loaded, "received")
 
@@ -596,11 +596,11 @@ COMMIT_COLUMNS = "author, organization, repository, branch, visibility, commit_s
 
 
 def _commits(d: DerivedEvents, **options) -> DataFrame:
-    return review.commits_to_review(d.pushes, d.reviewed_commits, **options)
+    return review.commits_to_review(d.events, d.reviewed_commits, **options)
 
 
 def _statuses(d: DerivedEvents) -> DataFrame:
-    reviews = review.pull_request_reviews_from_events(d.reviews)
+    reviews = review.pull_request_reviews_from_events(d.events)
     return review.commit_approval(_commits(d), d.commit_pull_requests, reviews, d.lookup_errors)
 
 
@@ -621,7 +621,7 @@ def _(d):
 FROM lineitem WHERE l_linenumber BETWEEN 1 AND 3""",
 )
 def _(d):
-    return review.pull_request_reviews_from_events(d.reviews)
+    return review.pull_request_reviews_from_events(d.events)
 
 
 @query("commit_approval", f"WITH {STATUSES} SELECT * FROM statuses")
@@ -631,16 +631,16 @@ def _(d):
 
 @query("breakglass_issues", f"WITH {STATUSES}, {TAGGED}")
 def _(d):
-    return review.breakglass_issues(_statuses(d), d.issues)
+    return review.breakglass_issues(_statuses(d), d.events)
 
 
 @query("commit_review_status", f"WITH {STATUSES}, {TAGGED}")
 def _(d):
     return review.commit_review_status(
-        d.pushes.unionByName(d.issues),
+        d.events,
         d.reviewed_commits,
         d.commit_pull_requests,
-        review.pull_request_reviews_from_events(d.reviews),
+        review.pull_request_reviews_from_events(d.events),
         d.lookup_errors,
         stage=stage,
     )
@@ -669,7 +669,7 @@ def _(d):
         review.unreviewed_commits(store.read("pushed_commits"), d.reviewed_commits),
         review.counted_issues(store.read("emergency_issues")),
         d.commit_pull_requests,
-        review.pull_request_reviews_from_events(d.reviews),
+        review.pull_request_reviews_from_events(d.events),
         d.lookup_errors,
         stage,
     )
@@ -719,7 +719,7 @@ def _(d):
 # The limit is what this one shows: the oldest runs of a batch that a caller asks for.
 @query("artifact_queue_batch", f"WITH {QUEUE} {QUEUE_SELECT} ORDER BY ts, delivery_id LIMIT 100")
 def _(d):
-    return art.artifact_queue(d.workflow_runs, d.artifacts, batch_size=100)
+    return art.artifact_queue(d.events, d.artifacts, batch_size=100)
 
 
 @query(
@@ -732,7 +732,7 @@ SELECT delivery_id, TIMESTAMP '2024-02-05' AS processed_at, status, workflow_url
 FROM queue""",
 )
 def _(d):
-    queue = art.artifact_queue(d.workflow_runs, d.artifacts, batch_size=None)
+    queue = art.artifact_queue(d.events, d.artifacts)
     return art.artifact_status(queue, d.fetch_outcomes, BUCKET, AS_OF)
 
 
@@ -748,7 +748,7 @@ FROM queue, (VALUES (0), (1)) v(n)
 WHERE status = 'SUCCESS' AND (event_id % 3 = 1 OR (event_id % 3 = 0 AND n = 0))""",
 )
 def _(d):
-    queue = art.artifact_queue(d.workflow_runs, d.artifacts, batch_size=None)
+    queue = art.artifact_queue(d.events, d.artifacts)
     return art.artifact_pr_comments(queue, d.fetch_outcomes, BUCKET, PROJECT)
 
 
@@ -820,7 +820,7 @@ ORDER BY received, pull_request_id""",
 )
 def _(d):
     return publisher.publisher_source(
-        d.pull_request_events, d.artifacts, d.workflow_runs, d.invocation_comments, AS_OF
+        d.pull_request_events, d.artifacts, d.events, d.invocation_comments, AS_OF
     )
 
 

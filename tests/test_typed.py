@@ -1,5 +1,6 @@
 """Typed tables: what the intake keeps, and the jobs that read them instead of events."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -180,3 +181,30 @@ def test_the_feed_keeps_its_position(spark, store):
     jobs.load_integration_events(store)
     assert rows(store.read("integration_events"), "delivery_id") == [("a",), ("b",), ("c",)]
     assert store.run_state("integration_events")["position"] == 1_704_153_600_000_000
+
+
+@pytest.mark.parametrize("table", sorted(SHAPES))
+def test_late_closings_within_the_lookback_load_once(spark, store, table):
+    take_in(store, events(spark, *FIRST))
+    jobs.load_pull_request_stats(store, table)
+    take_in(store, events(spark, closed(7, "late", "2024-01-02"), closed(8, "too late", "2023-12-30")))
+    for _ in range(2):
+        jobs.load_pull_request_stats(store, table, lookback=dt.timedelta(days=2))
+        assert sorted({r[0] for r in rows(store.read(table), "pr_id")}) == ["1", "7"]
+    assert store.run_state(table)["position"] == 1_704_240_000_000_000
+    take_in(store, events(spark, *SECOND))
+    jobs.load_pull_request_stats(store, table, lookback=dt.timedelta(days=30))
+    assert sorted({r[0] for r in rows(store.read(table), "pr_id")}) == ["1", "2", "7", "8"]
+    whole = SHAPES[table](events(spark, *FIRST, *SECOND, closed(7, "late", "2024-01-02"), closed(8, "too late", "2023-12-30")))
+    assert store.read(table).count() == whole.count()
+
+
+def test_late_events_of_the_feed_load_once(spark, store):
+    store.append("optimized_events", events(spark, event("push", {}, "a", "2024-01-01"), event("push", {}, "b", "2024-01-05")))
+    jobs.load_integration_events(store)
+    store.append("optimized_events", events(spark, event("push", {}, "late", "2024-01-04"), event("push", {}, "too late", "2024-01-01 12:00:00"), event("push", {}, "c", "2024-01-06")))
+    for _ in range(2):
+        jobs.load_integration_events(store, lookback=dt.timedelta(days=2))
+        assert rows(store.read("integration_events"), "delivery_id") == [("a",), ("b",), ("c",), ("late",)]
+    jobs.load_integration_events(store)
+    assert store.read("integration_events").count() == 4
