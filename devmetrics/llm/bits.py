@@ -35,6 +35,11 @@ class Bits:
         table[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
         self.shared = keys.sparkSession.sparkContext.broadcast(table)
 
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        """Whether each key (signed 64-bit) may be in the set; for use within a task."""
+        at = keys % SIZE
+        return (self.shared.value[at // 32] >> (at % 32).astype(np.uint32)) & 1 == 1
+
     def split(self, rows: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
         """(rows whose key may be in the set, rows whose key is not)."""
         placed = rows.withColumn("__place", _place(key))

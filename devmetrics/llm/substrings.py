@@ -4,14 +4,19 @@ A window is ``window`` consecutive words of one document. Every word covered by
 a window whose word sequence also starts in a document with a smaller id is
 removed; windows are judged on the input, not on what is left.
 
-One anchored pass stands in for levels of doubling length. The anchor of a long
-window is one short window in it of half the length, the one with the smallest
-hash: equal long windows have it at the same place. An anchor travels with the
-hashes of all long windows it stands for, whether it repeats or not, and they
-are compared where it lands. Sending only the long windows of repeated anchors
-would take a second trip back to the texts.
-
-Before that shuffle each portion of a task drops the windows that an earlier
+Windows are found by levels of doubling length. The first level has windows of
+half the length. Of those in a long window only one matters, its anchor: the one
+with the smallest hash, which equal long windows have at the same place. Anchors
+of at least two documents survive; a bitmap of bounded size tells the texts which
+they are. The second level extends survivors alone: the long windows around one
+travel with it and are compared where it lands, and none survives that only one
+document has. With very many survivors the bitmap fills up; then it spares less,
+and nothing is lost.
+
+Texts without a removed word are not shuffled either: a second bitmap, of the
+rows that have one, keeps them where they are.
+
+Before the second shuffle each portion of a task drops the windows that an earlier
 document of the same portion has; they are decided. So a passage that a third
 of all documents share travels once per portion, not once per document.
 
@@ -33,7 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devmetrics.llm.staging import importable
+from devmetrics.llm.bits import Bits
+from devmetrics.llm.staging import Workspace, importable
 from devmetrics.llm.wordhash import Batch, runs
 
 WINDOW = 13
@@ -70,8 +76,40 @@ def _anchors(short: np.ndarray, starts: np.ndarray, reach: int) -> np.ndarray:
     return starts + at
 
 
-def _hits(batch: Batch, a: int, b: int, ids: np.ndarray, tags: np.ndarray, window: int) -> pa.RecordBatch:
-    """The short windows of texts ``a`` to ``b`` with the long windows that are not decided yet."""
+def _first_level(window: int):
+    """Hashes of the anchors of each portion; one that several of its documents have comes twice."""
+    half = window // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in batches:
+            ids = table.column(0).fill_null(_NO_ID).to_numpy()
+            batch = Batch(table.column(1), lower=False)
+            for a, b in _portions(batch.counts):
+                base, end = batch.first[a], batch.first[b]
+                first, words = batch.first[a : b + 1] - base, batch.hash[base:end]
+                _, text = runs(words, first, window)
+                starts = np.flatnonzero(text >= 0)
+                if not len(starts):
+                    continue
+                short, _ = runs(words, first, half)
+                anchor = _anchors(short, starts, window - half + 1)
+                new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+                h, doc = short[anchor[new]], ids[a:b][text[starts[new]]]
+                order = np.lexsort((doc, h))
+                h, doc = h[order], doc[order]
+                head = np.concatenate([[True], h[1:] != h[:-1]])
+                other = np.concatenate([[False], (doc[1:] != doc[:-1]) & ~head[1:]])
+                yield pa.RecordBatch.from_pydict(
+                    {"h": pa.array(np.concatenate([h[head], np.unique(h[other])]).astype(np.int64))}
+                )
+
+    return run
+
+
+def _hits(
+    batch: Batch, a: int, b: int, ids: np.ndarray, tags: np.ndarray, window: int, survivors: Bits
+) -> pa.RecordBatch:
+    """The surviving anchors of texts ``a`` to ``b`` with the long windows that are not decided yet."""
     base, end = batch.first[a], batch.first[b]
     first, words = batch.first[a : b + 1] - base, batch.hash[base:end]
     half = window // 2
@@ -81,6 +119,11 @@ def _hits(batch: Batch, a: int, b: int, ids: np.ndarray, tags: np.ndarray, windo
     if not len(starts):
         return pa.RecordBatch.from_pylist([], _HITS)
     short, _ = runs(words, first, half)
+    anchor = _anchors(short, starts, reach)
+    alive = survivors.has(short[anchor].astype(np.int64))
+    starts, anchor = starts[alive], anchor[alive]
+    if not len(starts):
+        return pa.RecordBatch.from_pylist([], _HITS)
     long, text = long[starts], text[starts]
     doc = ids[a:b][text]
     # The smallest id that has the window, within this portion.
@@ -91,7 +134,6 @@ def _hits(batch: Batch, a: int, b: int, ids: np.ndarray, tags: np.ndarray, windo
     later = np.empty(len(doc), bool)
     later[order] = sorted_doc > smallest
 
-    anchor = _anchors(short, starts, reach)
     out = []
     for decided in (False, True):
         pick = np.flatnonzero(later == decided)
@@ -123,14 +165,14 @@ def _hits(batch: Batch, a: int, b: int, ids: np.ndarray, tags: np.ndarray, windo
     return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
 
 
-def _short_windows(window: int):
+def _second_level(window: int, survivors: Bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches:
             ids = table.column(0).fill_null(_NO_ID).to_numpy()
             tags = table.column(1).to_numpy()
             batch = Batch(table.column(2), lower=False)
             for a, b in _portions(batch.counts):
-                hits = _hits(batch, a, b, ids, tags, window)
+                hits = _hits(batch, a, b, ids, tags, window, survivors)
                 if hits.num_rows:
                     yield hits
 
@@ -219,15 +261,25 @@ def without_repeats(
         raise ValueError("a window has 2 to 14 words")
     importable(docs.sparkSession)
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    work = Workspace(docs.sparkSession)
+    anchors = texts.select("doc_id", "text").mapInArrow(_first_level(window), "h bigint")
+    repeated = anchors.groupBy("h").count().filter("count > 1").select("h")
+    survivors = Bits(repeated, F.col("h"))
     hits = texts.select("doc_id", _tag().alias("tag"), "text").mapInArrow(
-        _short_windows(window), "h int, doc bigint, tag bigint, place bigint, long binary"
+        _second_level(window, survivors), "h int, doc bigint, tag bigint, place bigint, long binary"
     )
     found = hits.repartition("h").sortWithinPartitions("h", "doc").mapInArrow(
         _extended, "doc bigint, tag bigint, place bigint"
     )
-    per_doc = found.groupBy("doc", "tag").agg(F.collect_list("place").alias("found"))
+    found = work.write(found, "found")
     keyed = texts.select(
         "doc_id", "text", F.coalesce("doc_id", F.lit(int(_NO_ID))).alias("doc"), _tag().alias("tag")
     )
-    met = keyed.join(per_doc, ["doc", "tag"], "left").select("doc_id", "text", "found")
-    return met.mapInArrow(_kept(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+    row = F.xxhash64("doc", "tag")
+    changed, whole = Bits(found, row).split(keyed, row)
+    per_doc = found.groupBy("doc", "tag").agg(F.collect_list("place").alias("found"))
+    changed = changed.join(per_doc, ["doc", "tag"], "left").select("doc_id", "text", "found")
+    whole = whole.select("doc_id", "text", F.lit(None).cast("array<bigint>").alias("found"))
+    return changed.unionByName(whole).mapInArrow(
+        _kept(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"
+    )
