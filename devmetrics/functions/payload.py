@@ -104,6 +104,13 @@ def parse_payload(
     return raw.select(*keep, F.struct(*leaves).alias(PARSED))
 
 
+def timed(events: DataFrame) -> DataFrame:
+    """``events`` with a ``received`` column, NULL if they come without one."""
+    if "received" in events.columns:
+        return events
+    return events.withColumn("received", F.lit(None).cast("timestamp"))
+
+
 def field(path: str) -> Column:
     """A parsed payload field by its dotted path."""
     return F.col(f"{PARSED}.{path}")
