@@ -368,12 +368,16 @@ def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (u, v); the component is its smallest node.
 
     Large and small stars in turn: every node links its larger neighbours to the
-    smallest one around it, then its smaller ones, until nothing changes. Both
+    smallest one around it, then its smaller ones, until only stars are left. Both
     are grouped minima and joins.
     """
 
-    def measure(df: DataFrame):
-        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") / 1e3)).first())
+    def is_final(df: DataFrame) -> bool:
+        """Whether these are stars: nodes with one edge each to a centre that has none itself."""
+        ends = df.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ends = ends.unionByName(df.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+        return ends.filter("up > 1 OR (up > 0 AND down > 0)").isEmpty()
 
     def near(df: DataFrame) -> DataFrame:
         return df.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -382,9 +386,9 @@ def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
         return df.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
     now = work.write(distinct(edges), f"{name}-0")
-    last, step = None, 0
-    while (size := measure(now)) != last:
-        last, step = size, step + 1
+    step = 0
+    while not is_final(now):
+        step += 1
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(near(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = distinct(large)
