@@ -116,6 +116,30 @@ def field(path: str) -> Column:
     return F.col(f"{PARSED}.{path}")
 
 
+# What keeps a row out of its table: a column that ``cast_columns`` adds on demand.
+UNREADABLE = "unreadable"
+
+
+def cast_columns(
+    df: DataFrame, types: dict[str, str], aside: bool = False, required: tuple[str, ...] = ()
+) -> DataFrame:
+    """``df`` with its text columns as ``types``; a text that does not fit fails the query.
+
+    With ``aside`` nothing fails: such a value becomes NULL and the array
+    ``unreadable`` lists it as ``column=text``, and a NULL in a ``required``
+    column as ``column``. The array of a sound row is empty.
+    """
+    if not aside:
+        return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+    value = {c: F.col(c).try_cast(t) for c, t in types.items()}
+    faults = [
+        F.when(F.col(c).isNotNull() & v.isNull(), F.concat(F.lit(f"{c}="), F.col(c))) for c, v in value.items()
+    ]
+    faults += [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
+    columns = [value[c].alias(c) if c in value else F.col(c) for c in df.columns]
+    return df.select(*columns, F.array_compact(F.array(*faults)).alias(UNREADABLE))
+
+
 def json_scalar(column: Column | str, path: str) -> Column:
     """The scalar at a JSON path as text; NULL for objects, arrays, null and missing.
 

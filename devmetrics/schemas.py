@@ -122,6 +122,14 @@ COMPLETED_RUNS = TableSpec(
     cluster_by=("delivery_id",),
 )
 
+# Rows that the typed tables cannot take: which, and the values that do not fit.
+UNREADABLE_ROWS = TableSpec(
+    "unreadable_rows",
+    "delivery_id STRING, table_name STRING, unreadable ARRAY<STRING>, received TIMESTAMP",
+    required=("table_name",),
+    partition_time="received",
+)
+
 INTEGRATION_EVENTS = TableSpec(
     "integration_events",
     """
@@ -246,6 +254,7 @@ TABLES: dict[str, TableSpec] = {
         PUSHED_COMMITS,
         EMERGENCY_ISSUES,
         COMPLETED_RUNS,
+        UNREADABLE_ROWS,
         INTEGRATION_EVENTS,
         PRSTATS,
         PRSTATS_PULL_REQUESTS,

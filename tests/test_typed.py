@@ -208,3 +208,35 @@ def test_late_events_of_the_feed_load_once(spark, store):
         assert rows(store.read("integration_events"), "delivery_id") == [("a",), ("b",), ("c",), ("late",)]
     jobs.load_integration_events(store)
     assert store.read("integration_events").count() == 4
+
+
+def test_unreadable_rows_go_aside_and_stop_nothing(spark, store):
+    bad_pr = {"action": "closed", "pull_request": {"id": 9, "merged_at": "yesterday", "additions": "many", "created_at": T0}}
+    good, late = {"id": "ok", "timestamp": T0}, {"id": "bad", "timestamp": "noon"}
+    body = {
+        "ref": "refs/heads/main", "compare_url": "https://github.com/o/r", "pusher": {"name": "p"}, "organization": {"login": "o"},
+        "repository": {"name": "r", "default_branch": "main"}, "commits": [good, late, {"timestamp": T0}, {"id": "timeless"}],
+    }
+    issue = {
+        "repository": {"name": "breakglass"}, "organization": {"login": "o"},
+        "issue": {"html_url": "https://github.com/i", "created_at": "soon", "closed_at": T0},
+    }
+    still_open = {"repository": {"name": "breakglass"}, "issue": {"created_at": T0}}
+    batch = [
+        closed(1, "Ann", "2024-01-03"), event("pull_request", bad_pr, "d-pr"), event("push", body, "d-push"),
+        event("issues", issue, "d-issue"), event("issues", still_open, "d-open"),
+    ]
+    for _ in range(2):
+        store_events(store, events(spark, *batch), "s-1")
+    assert rows(store.read("unreadable_rows"), "delivery_id", "table_name", "unreadable") == [
+        ("d-issue", "emergency_issues", ["created_at=soon"]),
+        ("d-pr", "merged_pull_requests", ["insertions=many", "submitted=yesterday"]),
+        ("d-push", "pushed_commits", ["commit_sha"]),
+        ("d-push", "pushed_commits", ["commit_timestamp"]),
+        ("d-push", "pushed_commits", ["commit_timestamp=noon"]),
+    ]
+    assert rows(store.read("merged_pull_requests"), "pr_id") == [("1",)]
+    assert rows(store.read("pushed_commits"), "commit_sha") == [("ok",)]
+    assert rows(store.read("emergency_issues")) == []
+    jobs.load_pull_request_stats(store, "prstats")
+    assert store.read("prstats").count() == 1
