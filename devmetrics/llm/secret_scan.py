@@ -1,11 +1,19 @@
 """Secret scan with a random forest that removes false positives.
 
-A candidate is a run of at least ``MIN_LENGTH`` key-like characters. What it
+A candidate is a run of at least ``MIN_LENGTH`` key-like characters, with up to
+two ``=`` behind it; shorter keys, and keys cut into shorter pieces by other
+characters, are none. What it
 looks like, how usual its character transitions are, how much of it dictionary
 words cover, its path and the words around it are the features of a random
 forest, trained from labelled findings; candidates it takes for false positives
 are marked so.
 
+Where nobody has labelled findings, ``cue_labels`` does so for the clear ones:
+what is assigned to a cue word is a secret, a plain word or a number is none, and
+all others have no label. What then tells secrets (the words before and the
+quotes) is no feature, so the forest must learn what a secret looks like, and
+judges those without any cue by it.
+
 Dictionary and transitions are counted over all texts: a dictionary word is one
 that at least ``DICTIONARY_DOCS`` texts have. The forest is fitted on at most
 ``TRAINING_ROWS`` findings, picked by a hash; every candidate is judged. All of
@@ -32,18 +40,28 @@ TRAINING_ROWS = 20_000
 TREES, DEPTH, SEED = 20, 6, 11
 HASHED = 128
 
-KEY_LIKE = r"[A-Za-z0-9+/=_\-]"
-CUES = r"(?i)^\W*(token|secret|password|passwd|apikey|api_key|key|credential)\W*$"
+KEY_LIKE = r"[A-Za-z0-9+/_\-]"
+# Each match starts where the last one ended, so a long word is walked through once.
+RUN = rf"(?s)\G(.*?)({KEY_LIKE}{{{MIN_LENGTH},}}={{0,2}})"
+_CUE = r"[\w\-]*(?:token|secret|password|passwd|api_?key|key|credential)"
+CUES = rf"(?i)^\W*{_CUE}\W*$"
+# A cue word that a value is assigned to, at the end of what stands before the value.
+ASSIGNED = rf"(?i){_CUE}[\"'`]?[:=]+[\"'`]?$"
+KEY_BLOCK = r"(?i)KEY-----$"
+PLAIN = r"^([A-Z]?[a-z]+|[A-Z]+|[0-9]+)$"
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """doc_id, position, run, candidate, path and the neighbouring words; one row per candidate."""
+    """doc_id, position, run, candidate, path and what stands around it; one row per candidate.
+
+    ``before`` is what stands before it in its own word, behind the run before.
+    """
     df = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(path).cast("string").alias("path"), words(F.col(text)).alias("w")
     )
-    pattern = F.lit(f"({KEY_LIKE}{{{MIN_LENGTH},}})")
+    pattern = F.lit(RUN)
     found = F.filter(
-        F.transform("w", lambda x, i: F.struct(F.regexp_extract_all(x, pattern, 1).alias("cs"), i.alias("i"))),
+        F.transform("w", lambda x, i: F.struct(F.regexp_extract_all(x, pattern, 2).alias("cs"), i.alias("i"))),
         lambda x: F.size(x["cs"]) > 0,
     )
     long = F.exists("w", lambda x: F.length(x) >= MIN_LENGTH)
@@ -64,6 +82,7 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
         near(i - 2).alias("left2"),
         near(i + 1).alias("right"),
         F.get("w", i).rlike("[\"'`]").alias("quoted"),
+        F.get(F.regexp_extract_all(F.get("w", i), pattern, 1), F.col("run")).alias("before"),
     )
 
 
@@ -125,19 +144,29 @@ def features(found: DataFrame, counts: DataFrame, pair_table: DataFrame) -> Data
 
 NUMERIC = ["surprise", "worst", "coverage", "length", "digits", "capitals", "signs", "switches"]
 TEXTUAL = ["path", "left", "left2", "right", "quoted"]
+# Without what ``cue_labels`` tells secrets by.
+UNCUED = ["path", "right"]
 
 
 def cue_labels(found: DataFrame) -> DataFrame:
-    """Findings labelled by what stands around them: quoted behind a cue word is a secret.
+    """Adds ``label``: 1.0 for what a cue word is given, 0.0 for plain words and numbers, else NULL.
 
-    Stands in where nobody has labelled findings by hand.
+    The value stands behind the cue and a sign of assignment (``key=...``,
+    ``key: ...``, ``"key":"..."``, in one word or several), quoted behind the
+    cue, or on the first line of a key block.
     """
-    near = F.col("left").rlike(CUES) | (F.col("left").rlike(r"^\W+$") & F.col("left2").rlike(CUES))
-    return found.withColumn("label", F.when(near & F.col("quoted"), 1.0).otherwise(0.0))
+    apart = F.col("left").rlike(r"^\W+$")
+    cue = F.col("left").rlike(CUES) | (apart & F.col("left2").rlike(CUES))
+    sign = F.when(apart, F.col("left")).otherwise(F.regexp_extract("left", r"(\W*)$", 1)).rlike("[:=]")
+    given = (cue & (F.col("quoted") | sign)) | F.col("before").rlike(ASSIGNED) | F.col("left").rlike(KEY_BLOCK)
+    return found.withColumn("label", F.when(given, 1.0).when(F.col("candidate").rlike(PLAIN), 0.0))
 
 
-def trained(findings: DataFrame):
-    """The model, or the one label there is, or None without labels; in: features and ``label``."""
+def trained(findings: DataFrame, textual: list[str] = TEXTUAL):
+    """The model, or the one label there is, or None without labels; in: features and ``label``.
+
+    Findings without a label are left out.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import FeatureHasher, VectorAssembler
@@ -154,7 +183,7 @@ def trained(findings: DataFrame):
     if len(labels) < 2:
         return labels[0] if labels else None
     stages = [
-        FeatureHasher(inputCols=TEXTUAL, outputCol="near", numFeatures=HASHED, categoricalCols=TEXTUAL),
+        FeatureHasher(inputCols=textual, outputCol="near", numFeatures=HASHED, categoricalCols=textual),
         VectorAssembler(inputCols=[*NUMERIC, "near"], outputCol="features"),
         RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features"),
     ]
@@ -191,7 +220,9 @@ def scan(
     counts = work.write(word_counts(docs, text), "words")
     pair_table = work.write(transitions(counts), "pairs")
     seen = work.write(features(found, counts, pair_table), "features")
-    labelled = cue_labels(seen) if findings is None else features(findings, counts, pair_table)
-    model = trained(labelled)
+    if findings is None:
+        model = trained(cue_labels(seen), UNCUED)
+    else:
+        model = trained(features(findings, counts, pair_table))
     work.drop("words", "candidates")
     return judged(seen, model).select("doc_id", "position", "run", "candidate", "probability", "is_secret")
