@@ -20,6 +20,10 @@ Before the second shuffle each portion of a task drops the windows that an earli
 document of the same portion has; they are decided. So a passage that a third
 of all documents share travels once per portion, not once per document.
 
+A task hashes its texts in slices and compares what is left of them in portions,
+both of bounded size, so its memory does not depend on how many texts come in
+one Arrow batch; only a single text longer than a slice takes more.
+
 Long windows are compared by their own 64-bit hashes, and only below one short
 window, of which 32 bits decide where they meet. Rows with equal or null ids
 are told apart by a 64-bit hash of the text. Defined cases: a null text has no words. A null id ranks
@@ -35,6 +39,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +48,8 @@ from devmetrics.llm.staging import Workspace, importable
 from devmetrics.llm.wordhash import Batch, runs
 
 WINDOW = 13
-# Words that a task compares at a time before the shuffle.
-PORTION = 1 << 20
+# Bytes of text that a task hashes at a time, and anchors or windows that it compares at a time before a shuffle.
+PORTION = 1 << 19
 
 _NO_ID = np.iinfo(np.int64).max
 # ``place`` holds which long windows, and the word: bits << 32 | word. ``tag`` is a hash of the text.
@@ -55,17 +60,33 @@ _FOUND = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("place", pa.int64
 _WORD, _BITS = (1 << 32) - 1, 0xFF << 32
 
 
-def _portions(counts: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about ``PORTION`` words."""
-    total = np.concatenate([[0], np.cumsum(counts)])
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``PORTION`` bytes."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
+    total = np.concatenate([[0], np.cumsum(sizes)])
     start = 0
-    while start < len(counts):
+    while start < len(sizes):
         stop = int(np.searchsorted(total, total[start] + PORTION, "right")) - 1
-        stop = min(max(stop, start + 1), len(counts))
+        stop = min(max(stop, start + 1), len(sizes))
         yield start, stop
         start = stop
 
 
+def _portions(parts: Iterator[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
+    """The same columns with about ``PORTION`` rows at a time."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part[0])
+        if n >= PORTION:
+            joined = [np.concatenate(c) for c in zip(*held)]
+            held, n = [], 0
+            yield joined
+            del joined
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
 def _anchors(short: np.ndarray, starts: np.ndarray, reach: int) -> np.ndarray:
     """For each start of a long window the place of its smallest short window, the first if several."""
     best, at = short[starts], np.zeros(len(starts), np.int64)
@@ -76,105 +97,105 @@ def _anchors(short: np.ndarray, starts: np.ndarray, reach: int) -> np.ndarray:
     return starts + at
 
 
+def _windows(batch: Batch, window: int) -> tuple[np.ndarray, ...]:
+    """(hash, text, start, place of the anchor) of all long windows, and the hashes of the short ones."""
+    half = window // 2
+    long, text = runs(batch.hash, batch.first, window)
+    starts = np.flatnonzero(text >= 0)
+    short, _ = runs(batch.hash, batch.first, half)
+    return long[starts], text[starts], starts, _anchors(short, starts, window - half + 1), short
+
+
 def _first_level(window: int):
     """Hashes of the anchors of each portion; one that several of its documents have comes twice."""
-    half = window // 2
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for table in batches:
-            ids = table.column(0).fill_null(_NO_ID).to_numpy()
-            batch = Batch(table.column(1), lower=False)
-            for a, b in _portions(batch.counts):
-                base, end = batch.first[a], batch.first[b]
-                first, words = batch.first[a : b + 1] - base, batch.hash[base:end]
-                _, text = runs(words, first, window)
-                starts = np.flatnonzero(text >= 0)
-                if not len(starts):
-                    continue
-                short, _ = runs(words, first, half)
-                anchor = _anchors(short, starts, window - half + 1)
-                new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
-                h, doc = short[anchor[new]], ids[a:b][text[starts[new]]]
-                order = np.lexsort((doc, h))
-                h, doc = h[order], doc[order]
-                head = np.concatenate([[True], h[1:] != h[:-1]])
-                other = np.concatenate([[False], (doc[1:] != doc[:-1]) & ~head[1:]])
-                yield pa.RecordBatch.from_pydict(
-                    {"h": pa.array(np.concatenate([h[head], np.unique(h[other])]).astype(np.int64))}
-                )
+            ids, texts = table.column(0).fill_null(_NO_ID).to_numpy(), table.column(1)
+            for a, b in _slices(texts):
+                _, text, _, anchor, short = _windows(Batch(texts.slice(a, b - a), lower=False), window)
+                if len(anchor):
+                    new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+                    yield [short[anchor[new]], ids[a:b][text[new]]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h, doc in _portions(anchors(batches)):
+            order = np.lexsort((doc, h))
+            h, doc = h[order], doc[order]
+            head = np.concatenate([[True], h[1:] != h[:-1]])
+            other = np.concatenate([[False], (doc[1:] != doc[:-1]) & ~head[1:]])
+            yield pa.RecordBatch.from_pydict(
+                {"h": pa.array(np.concatenate([h[head], np.unique(h[other])]).astype(np.int64))}
+            )
 
     return run
 
 
-def _hits(
-    batch: Batch, a: int, b: int, ids: np.ndarray, tags: np.ndarray, window: int, survivors: Bits
-) -> pa.RecordBatch:
-    """The surviving anchors of texts ``a`` to ``b`` with the long windows that are not decided yet."""
-    base, end = batch.first[a], batch.first[b]
-    first, words = batch.first[a : b + 1] - base, batch.hash[base:end]
-    half = window // 2
-    reach = window - half + 1
-    long, text = runs(words, first, window)
-    starts = np.flatnonzero(text >= 0)
-    if not len(starts):
-        return pa.RecordBatch.from_pylist([], _HITS)
-    short, _ = runs(words, first, half)
-    anchor = _anchors(short, starts, reach)
-    alive = survivors.has(short[anchor].astype(np.int64))
-    starts, anchor = starts[alive], anchor[alive]
-    if not len(starts):
-        return pa.RecordBatch.from_pylist([], _HITS)
-    long, text = long[starts], text[starts]
-    doc = ids[a:b][text]
-    # The smallest id that has the window, within this portion.
+def _later(long: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether a smaller id has the window too."""
     order = np.lexsort((doc, long))
     sorted_long, sorted_doc = long[order], doc[order]
     head = np.concatenate([[True], sorted_long[1:] != sorted_long[:-1]])
     smallest = sorted_doc[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
-    later = np.empty(len(doc), bool)
-    later[order] = sorted_doc > smallest
+    out = np.empty(len(doc), bool)
+    out[order] = sorted_doc > smallest
+    return out
 
-    out = []
+
+def _hits(
+    long: np.ndarray, h: np.ndarray, nth: np.ndarray, k: np.ndarray, at: np.ndarray, doc: np.ndarray, tag: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """A row per anchor with its long windows that this portion decides, and one with those it does not.
+
+    Per long window: its hash, that of its anchor, the number of the anchor, the words
+    before the anchor in the window and in the text, and the text's id and tag.
+    """
+    later = _later(long, doc)
     for decided in (False, True):
         pick = np.flatnonzero(later == decided)
         if not len(pick):
             continue
         # Windows of one short window are neighbours; those of one text come in order.
-        at, t = anchor[pick], text[pick]
-        new = np.concatenate([[True], at[1:] != at[:-1]])
-        group = np.flatnonzero(new)
-        k = at - starts[pick]
-        mask = np.add.reduceat(np.left_shift(1, k), group)
-        t, at = t[group], at[group]
-        place = mask << 32 | (at - first[t])
+        number = nth[pick]
+        group = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+        mask = np.add.reduceat(np.left_shift(1, k[pick].astype(np.int64)), group)
+        ends = np.append(group, len(pick)).astype(np.int32) * 8
+        data = long[pick]
+        pick = pick[group]
         if decided:
-            h = (ids[a:b][t].astype(np.uint64) + at.astype(np.uint64)).astype(np.int32)
+            key = (doc[pick].astype(np.uint64) + at[pick].astype(np.uint64)).astype(np.int32)
             blob = pa.nulls(len(group), pa.binary())
         else:
-            h = short[at].astype(np.int32)
-            ends = np.append(group, len(pick)).astype(np.int32) * 8
-            data = long[pick]
+            key = h[pick]
             blob = pa.Array.from_buffers(
                 pa.binary(), len(group), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]
             )
-        out.append(
-            pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(ids[a:b][t]), pa.array(tags[a:b][t]), pa.array(place), blob], schema=_HITS
-            )
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key), pa.array(doc[pick]), pa.array(tag[pick]), pa.array(mask << 32 | at[pick]), blob], schema=_HITS
         )
-    return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
 
 
 def _second_level(window: int, survivors: Bits):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The surviving anchors with the long windows around them that are not decided yet, and with those that are."""
+
+    def alive(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+        done = 0
         for table in batches:
-            ids = table.column(0).fill_null(_NO_ID).to_numpy()
-            tags = table.column(1).to_numpy()
-            batch = Batch(table.column(2), lower=False)
-            for a, b in _portions(batch.counts):
-                hits = _hits(batch, a, b, ids, tags, window, survivors)
-                if hits.num_rows:
-                    yield hits
+            ids, tags = table.column(0).fill_null(_NO_ID).to_numpy(), table.column(1).to_numpy()
+            texts = table.column(2)
+            for a, b in _slices(texts):
+                batch = Batch(texts.slice(a, b - a), lower=False)
+                long, text, starts, anchor, short = _windows(batch, window)
+                left = np.flatnonzero(survivors.has(short[anchor].astype(np.int64)))
+                long, text, starts, anchor = long[left], text[left], starts[left], anchor[left]
+                k, at = (anchor - starts).astype(np.int8), anchor - batch.first[text]
+                yield [long, short[anchor].astype(np.int32), anchor + done, k, at, ids[a:b][text], tags[a:b][text]]
+                done += len(batch.hash)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in _portions(alive(batches)):
+            if len(columns[0]):
+                yield from _hits(*columns)
 
     return run
 
@@ -233,9 +254,9 @@ def _kept(window: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
+        for part in (table.slice(a, b - a) for table in batches for a, b in _slices(table.column(1))):
             rows = []
-            for key, text, found in zip(*(table.column(i) for i in range(3))):
+            for key, text, found in zip(*(part.column(i) for i in range(3))):
                 words = (text.as_py() or "").encode().split()
                 keep = words
                 if found.is_valid:

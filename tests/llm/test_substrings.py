@@ -1,8 +1,10 @@
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from devmetrics.llm import substrings
@@ -78,3 +80,29 @@ def test_null_ids_whose_texts_share_22_bits(spark):
     rows = [(1, shared), (None, pair["a"]), (None, pair["b"])]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert result(substrings.without_repeats(docs)) == brute(rows)
+
+
+class AllSurvive:
+    def has(self, keys):
+        return np.ones(len(keys), bool)
+
+
+def test_memory_of_a_task_does_not_grow_with_its_arrow_batches(monkeypatch):
+    """All levels over one batch of 8 MB, in slices of 64 KB."""
+    monkeypatch.setattr(substrings, "PORTION", 1 << 16)
+    texts = pa.array([" ".join(prose(i, 8)) + f" {i} " + " ".join(prose(i % 7, 300)) for i in range(4000)])
+    assert pc.sum(pc.binary_length(texts)).as_py() > 8 << 20
+    ids = pa.array(range(4000))
+    found = pa.nulls(4000, pa.list_(pa.int64()))
+    for level, columns in (
+        (substrings._first_level(13), [ids, texts]),
+        (substrings._second_level(13, AllSurvive()), [ids, ids, texts]),
+        (substrings._kept(13), [ids, texts, found]),
+    ):
+        table = pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
+        tracemalloc.start()
+        for out in level(iter([table])):
+            assert out.nbytes < 8 << 20
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 32 << 20
