@@ -25,7 +25,9 @@ both of bounded size, so its memory does not depend on how many texts come in
 one Arrow batch; only a single text longer than a slice takes more.
 
 Long windows are compared by their own 64-bit hashes, and only below one short
-window, of which 32 bits decide where they meet. Rows with equal or null ids
+window, of which 32 bits decide where they meet. Around a common anchor, with
+more than ``COMMON`` occurrences, each long window travels alone, to where 32
+bits of its own hash say; so no task gets all that surrounds one anchor. Rows with equal or null ids
 are told apart by a 64-bit hash of the text. Defined cases: a null text has no words. A null id ranks
 after every other; equal ids never remove from each other. Equal rows get equal
 results. Very long texts are read whole. An empty table gives an empty result.
@@ -50,6 +52,8 @@ from devmetrics.llm.wordhash import Batch, runs
 WINDOW = 13
 # Bytes of text that a task hashes at a time, and anchors or windows that it compares at a time before a shuffle.
 PORTION = 1 << 19
+# Occurrences from which on the windows around an anchor are dealt by their own hashes.
+COMMON = 1 << 14
 
 _NO_ID = np.iinfo(np.int64).max
 # ``place`` holds which long windows, and the word: bits << 32 | word. ``tag`` is a hash of the text.
@@ -107,7 +111,7 @@ def _windows(batch: Batch, window: int) -> tuple[np.ndarray, ...]:
 
 
 def _first_level(window: int):
-    """Hashes of the anchors of each portion; one that several of its documents have comes twice."""
+    """Hashes of the anchors of each portion, with its documents and occurrences there."""
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for table in batches:
@@ -123,10 +127,10 @@ def _first_level(window: int):
             order = np.lexsort((doc, h))
             h, doc = h[order], doc[order]
             head = np.concatenate([[True], h[1:] != h[:-1]])
-            other = np.concatenate([[False], (doc[1:] != doc[:-1]) & ~head[1:]])
-            yield pa.RecordBatch.from_pydict(
-                {"h": pa.array(np.concatenate([h[head], np.unique(h[other])]).astype(np.int64))}
-            )
+            other = np.concatenate([[True], doc[1:] != doc[:-1]]) | head
+            group = np.flatnonzero(head)
+            docs, n = np.add.reduceat(other.astype(np.int64), group), np.diff(np.append(group, len(h)))
+            yield pa.RecordBatch.from_arrays([pa.array(h[group].astype(np.int64)), pa.array(docs), pa.array(n)], ["h", "docs", "n"])
 
     return run
 
@@ -143,12 +147,14 @@ def _later(long: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def _hits(
-    long: np.ndarray, h: np.ndarray, nth: np.ndarray, k: np.ndarray, at: np.ndarray, doc: np.ndarray, tag: np.ndarray
+    long: np.ndarray, h: np.ndarray, alone: np.ndarray, nth: np.ndarray, k: np.ndarray, at: np.ndarray,
+    doc: np.ndarray, tag: np.ndarray,
 ) -> Iterator[pa.RecordBatch]:
     """A row per anchor with its long windows that this portion decides, and one with those it does not.
 
-    Per long window: its hash, that of its anchor, the number of the anchor, the words
-    before the anchor in the window and in the text, and the text's id and tag.
+    Per long window: its hash, where it is compared, whether it gets a row of its own there,
+    the number of its anchor, the words before the anchor in the window and in the text, and
+    the text's id and tag.
     """
     later = _later(long, doc)
     for decided in (False, True):
@@ -157,7 +163,8 @@ def _hits(
             continue
         # Windows of one short window are neighbours; those of one text come in order.
         number = nth[pick]
-        group = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+        head = np.concatenate([[True], number[1:] != number[:-1]])
+        group = np.flatnonzero(head if decided else head | alone[pick])
         mask = np.add.reduceat(np.left_shift(1, k[pick].astype(np.int64)), group)
         ends = np.append(group, len(pick)).astype(np.int32) * 8
         data = long[pick]
@@ -175,7 +182,7 @@ def _hits(
         )
 
 
-def _second_level(window: int, survivors: Bits):
+def _second_level(window: int, survivors: Bits, common: Bits):
     """The surviving anchors with the long windows around them that are not decided yet, and with those that are."""
 
     def alive(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -188,8 +195,10 @@ def _second_level(window: int, survivors: Bits):
                 long, text, starts, anchor, short = _windows(batch, window)
                 left = np.flatnonzero(survivors.has(short[anchor].astype(np.int64)))
                 long, text, starts, anchor = long[left], text[left], starts[left], anchor[left]
+                alone = common.has(short[anchor].astype(np.int64))
+                h = np.where(alone, long, short[anchor]).astype(np.int32)
                 k, at = (anchor - starts).astype(np.int8), anchor - batch.first[text]
-                yield [long, short[anchor].astype(np.int32), anchor + done, k, at, ids[a:b][text], tags[a:b][text]]
+                yield [long, h, alone, anchor + done, k, at, ids[a:b][text], tags[a:b][text]]
                 done += len(batch.hash)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +217,7 @@ def _bits(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Long windows that a smaller id has; in: hits in order of short window and id."""
+    """Long windows that a smaller id has; in: hits in order of where they are compared, and id."""
     seen: dict[str, np.ndarray] | None = None
     for table in batches:
         h, doc, tag, place = (table.column(i).to_numpy() for i in range(4))
@@ -283,11 +292,13 @@ def without_repeats(
     importable(docs.sparkSession)
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     work = Workspace(docs.sparkSession)
-    anchors = texts.select("doc_id", "text").mapInArrow(_first_level(window), "h bigint")
-    repeated = anchors.groupBy("h").count().filter("count > 1").select("h")
-    survivors = Bits(repeated, F.col("h"))
+    anchors = texts.select("doc_id", "text").mapInArrow(_first_level(window), "h bigint, docs bigint, n bigint")
+    repeated = anchors.groupBy("h").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")).filter("docs > 1")
+    repeated = work.write(repeated.select("h", (F.col("n") > COMMON).alias("common")), "repeated")
+    survivors, common = Bits(repeated, F.col("h")), Bits(repeated.filter("common"), F.col("h"))
+    work.drop("repeated")
     hits = texts.select("doc_id", _tag().alias("tag"), "text").mapInArrow(
-        _second_level(window, survivors), "h int, doc bigint, tag bigint, place bigint, long binary"
+        _second_level(window, survivors, common), "h int, doc bigint, tag bigint, place bigint, long binary"
     )
     found = hits.repartition("h").sortWithinPartitions("h", "doc").mapInArrow(
         _extended, "doc bigint, tag bigint, place bigint"

@@ -96,7 +96,7 @@ def test_memory_of_a_task_does_not_grow_with_its_arrow_batches(monkeypatch):
     found = pa.nulls(4000, pa.list_(pa.int64()))
     for level, columns in (
         (substrings._first_level(13), [ids, texts]),
-        (substrings._second_level(13, AllSurvive()), [ids, ids, texts]),
+        (substrings._second_level(13, AllSurvive(), AllSurvive()), [ids, ids, texts]),
         (substrings._kept(13), [ids, texts, found]),
     ):
         table = pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
@@ -106,3 +106,25 @@ def test_memory_of_a_task_does_not_grow_with_its_arrow_batches(monkeypatch):
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert peak < 32 << 20
+
+
+def test_common_anchor_with_other_words_around_it_is_no_single_group(spark, monkeypatch):
+    """12 words in 400 documents, between other words in each; some share the words on one side too."""
+    monkeypatch.setattr(substrings, "PORTION", 4000)
+    monkeypatch.setattr(substrings, "COMMON", 100, raising=False)
+    extended, middle = substrings._extended, prose(3, 12)
+
+    def guarded(batches):
+        def looked_at():
+            for table in batches:
+                most = max(Counter(table.column(0).to_pylist()).values())
+                if most > 100:
+                    raise ValueError(f"{most} rows around one anchor")
+                yield table
+
+        return extended(looked_at())
+
+    monkeypatch.setattr(substrings, "_extended", guarded)
+    rows = [(i, " ".join(prose(100 + i // 3, 20) + middle + prose(1000 + i, 20))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert result(substrings.without_repeats(docs)) == brute(rows)
