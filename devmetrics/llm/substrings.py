@@ -27,11 +27,13 @@ one Arrow batch; only a single text longer than a slice takes more.
 Long windows are compared by their own 64-bit hashes, and only below one short
 window, of which 32 bits decide where they meet. Around a common anchor, with
 more than ``COMMON`` occurrences, each long window travels alone, to where 32
-bits of its own hash say; so no task gets all that surrounds one anchor. Rows with equal or null ids
-are told apart by a 64-bit hash of the text. Defined cases: a null text has no words. A null id ranks
-after every other; equal ids never remove from each other. Equal rows get equal
-results. Very long texts are read whole. An empty table gives an empty result.
-Only the named columns are read.
+bits of its own hash say; so no task gets all that surrounds one anchor. Rows
+with equal or null ids are told apart by a 64-bit hash of the text.
+
+Defined cases: a null text has no words. A null id ranks after every other;
+equal ids never remove from each other. Equal rows get equal results. Very long
+texts are read whole. An empty table gives an empty result. Only the named
+columns are read.
 """
 
 from __future__ import annotations
