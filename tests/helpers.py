@@ -43,6 +43,22 @@ def final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
+def shuffled(df):
+    """Bytes that went into the shuffles of the query, after running it."""
+    df.collect()
+
+    def walk(node):
+        if node.nodeName() == "ReusedExchange":
+            return 0
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().get("dataSize").get().value() if node.nodeName() == "Exchange" else 0
+        children = node.children()
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan().executedPlan())
+
+
 def take_in(store, df):
     """Events with their identity, stored as one batch of the intake."""
     store_events(store, df, f"test-{uuid.uuid4().hex}")

@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from helpers import event, events, final_plan, rows, take_in, ts
+from helpers import event, events, final_plan, rows, shuffled, take_in, ts
 from pyspark.sql import functions as F
 
 from devmetrics.functions.links import url_prefix
@@ -248,6 +248,46 @@ def test_breakglass_matches_brute_force_for_a_busy_author(spark):
     assert any(expected.values())
 
 
+def test_breakglass_around_the_borders_of_blocks_and_slots(spark):
+    """Issues from a second to two years, before and after 1970, against brute force."""
+    rng = random.Random(7)
+    block = 256 * 3600
+    starts = [rng.choice([-3, 0, 2]) * block + rng.randrange(-9 * 3600, 9 * 3600) for _ in range(150)]
+    starts += [k * block + d for k in (-1, 0, 1) for d in (-1, 0, 1)]
+    issues = [(i, s, s + int(10 ** rng.uniform(0, 7.8))) for i, s in enumerate(starts)]
+    issues += [(900 + d, 0, block + d) for d in (-3601, -1, 0, 1)]
+    probes = sorted({t + d for _, a, b in issues for t in (a, b) for d in (-1, 0, 1)})
+    table = spark.createDataFrame(
+        [("o", "Alice", a, b, url(i), 1 + i % 2) for i, a, b in issues],
+        "organization string, author string, a bigint, b bigint, html_url string, n bigint",
+    ).selectExpr(
+        "organization", "author", "timestamp_seconds(a) created_at", "timestamp_seconds(b) closed_at", "html_url", "n"
+    )
+    commits = spark.createDataFrame([(t,) for t in probes], "t bigint").selectExpr(
+        "'o' organization", "'Alice' author", "t", "timestamp_seconds(t) commit_timestamp", "'UNKNOWN' approval_status"
+    )
+    got = {r.t: r.break_glass_issue_urls for r in review.with_issues(commits, table).collect()}
+    assert got == {t: sorted(url(i) for i, a, b in issues for _ in range(1 + i % 2) if a <= t <= b) for t in probes}
+
+
+def test_breakglass_reads_commits_once_and_shuffles_no_list_of_a_commit(spark):
+    """400 commits, each in 200 issues open for two months: 80,000 URLs in the result."""
+    made = spark.range(0, 400, 1, 4).selectExpr(
+        "'o' organization", "'Alice' author", "id", "timestamp_seconds(1700000000 + 1000 * id) commit_timestamp",
+        "'UNKNOWN' approval_status",
+    )
+    opened = "timestamp_seconds(1690000000 + id)"
+    issues = spark.range(0, 200, 1, 4).selectExpr(
+        "'o' organization", "'Alice' author", f"{opened} created_at", f"{opened} + INTERVAL 200 DAYS closed_at",
+        "concat('https://github.com/o/breakglass/issues/', id) html_url", "1L n",
+    )
+    tagged = review.with_issues(made, issues)
+    assert sum(len(r.break_glass_issue_urls) for r in tagged.collect()) == 80_000
+    assert final_plan(tagged).count("Range (0, 400") == 1
+    # The lists of 20 blocks or so go twice, the commits once.
+    assert shuffled(tagged) < 2_000_000
+
+
 def test_buckets_cover_their_interval_and_stay_few(spark):
     rng = random.Random(5)
     data = []
