@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 import uuid
 
 from devmetrics.streaming.ingest import store_events
@@ -59,6 +60,21 @@ def shuffled(df):
     return walk(df._jdf.queryExecution().executedPlan().executedPlan())
 
 
+def shuffle_files(spark):
+    """Names of the shuffle files that a local session has on disk."""
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def left_behind(spark, before):
+    """Shuffle files that came after ``before`` and are still there after a while."""
+    deadline = time.monotonic() + 10
+    while (left := shuffle_files(spark) - before) and time.monotonic() < deadline:
+        time.sleep(0.1)
+    return left
+
+
 def take_in(store, df):
     """Events with their identity, stored as one batch of the intake."""
     store_events(store, df, f"test-{uuid.uuid4().hex}")

@@ -288,6 +288,22 @@ def test_breakglass_reads_commits_once_and_shuffles_no_list_of_a_commit(spark):
     assert shuffled(tagged) < 2_000_000
 
 
+def test_the_audit_stages_lookups_and_then_statuses(spark):
+    staged = []
+
+    def keep(df):
+        staged.append(df)
+        return df
+
+    df = events(spark, push("a", "b"), issue(1, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z"))
+    got = review.commit_review_status(
+        df, reviewed(spark), prs(spark, ("a", 0, 1)), states(spark, (1, "APPROVED")), stage=keep
+    )
+    assert rows(got, "commit_sha", "break_glass_issue_urls") == [("a", []), ("b", [url(1)])]
+    assert ["approval_status" in df.columns for df in staged] == [False, True]
+    assert rows(staged[0], "commit_sha", "pull_request.status") == [("a", "APPROVED")]
+
+
 def test_buckets_cover_their_interval_and_stay_few(spark):
     rng = random.Random(5)
     data = []

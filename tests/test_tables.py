@@ -1,5 +1,6 @@
 import pytest
-from helpers import event, events, rows, ts
+from helpers import event, events, left_behind, rows, shuffle_files, ts
+from pyspark.sql import functions as F
 
 from devmetrics.operators.incremental import incremental_rows, read_watermark
 from devmetrics.plans.skew import one_row_per_key, repeat_rows
@@ -67,6 +68,16 @@ def test_stage_keeps_rows_and_uses_the_shared_folder(spark):
     assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()
 
 
+def test_stage_leaves_no_shuffle_behind(spark):
+    before = shuffle_files(spark)
+    grouped = spark.range(1000).groupBy(F.col("id") % 7).count()
+    staged = stage(grouped)
+    assert not left_behind(spark, before)
+    assert staged.count() == grouped.count() == 7
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(setting) == "false"  # as before
+
+
 def test_repeat_rows(spark, monkeypatch):
     monkeypatch.setattr("devmetrics.plans.skew.REPEAT_BLOCK", 3)
     df = spark.sql("SELECT id, id AS n FROM range(1, 9)")
