@@ -78,6 +78,18 @@ def test_stage_leaves_no_shuffle_behind(spark):
     assert spark.conf.get(setting) == "false"  # as before
 
 
+def test_a_written_batch_leaves_no_shuffle_behind(spark, store):
+    before = shuffle_files(spark)
+    grouped = spark.range(1000).groupBy((F.col("id") % 7).alias("delivery_id")).agg(F.count("*").alias("n"))
+    times = {"created": F.lit(ts("2024-01-01")), "received": F.lit(ts("2024-01-01"))}
+    others = ("signature", "event", "status_code", "reason", "payload")
+    batch = grouped.withColumns(times | {c: F.lit(None) for c in others})
+    for name in ("failure_events", "webhook_rejects"):  # without and with days
+        store.write_batch(name, batch, "one")
+    assert not left_behind(spark, before)
+    assert store.read("failure_events").count() == store.read("webhook_rejects").count() == 7
+
+
 def test_repeat_rows(spark, monkeypatch):
     monkeypatch.setattr("devmetrics.plans.skew.REPEAT_BLOCK", 3)
     df = spark.sql("SELECT id, id AS n FROM range(1, 9)")
